@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _own: dict[str, str] = {}
 
@@ -70,16 +73,56 @@ def heavy_lookup(rows: DataFrame, facts: DataFrame, key: str, weight: str, share
     return there.unionByName(rest)
 
 
-def slices(batches: Iterator, most_bytes: int, *columns: str) -> Iterator[list[list]]:
-    """Lists of the columns, in pieces whose last column holds most_bytes of text or one row."""
+def literal_table(spark: SparkSession, rows: list[tuple], schema: dict[str, str]) -> DataFrame:
+    """A few rows as literals of the plan."""
+    if not rows:
+        return spark.range(0).select(*(F.lit(None).cast(t).alias(n) for n, t in schema.items()))
+    return spark.range(1).select(F.inline(F.array(*(F.struct(*(F.lit(str(x) if t.startswith("decimal") else x).cast(t).alias(n) for x, (n, t) in zip(r, schema.items(), strict=True))) for r in rows))))
+
+
+ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string())}
+
+
+def pieces(batches: Iterator[pa.RecordBatch], most_bytes: int, text: str = "text") -> Iterator[pa.RecordBatch]:
+    """The batches cut so that each holds about most_bytes of text, or one row."""
     for batch in batches:
-        held = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns]
-        start = size = 0
-        for i, text in enumerate(held[-1]):
-            more = len(text) if text else 0
-            if i > start and size + more > most_bytes:
-                yield [h[start:i] for h in held]
-                start, size = i, 0
-            size += more
-        if held[-1] and start < len(held[-1]):
-            yield [h[start:] for h in held]
+        sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text))), 0).to_pylist()
+        start = held = 0
+        for i, n in enumerate(sizes):
+            if i > start and held + n > most_bytes:
+                yield batch.slice(start, i - start)
+                start, held = i, 0
+            held += n
+        if start < len(sizes):
+            yield batch.slice(start)
+
+
+def map_texts(docs: DataFrame, make: Callable[[], Callable[[list], list[Sequence]]], out: dict[str, str], most_bytes: int, text: str = "text") -> DataFrame:
+    """docs without the text, and the columns ``out`` that make()(texts) gives. Names must not clash."""
+    others = [c for c in docs.columns if c != text]
+    types = [ARROW[t] for t in out.values()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = make()
+        for b in pieces(batches, most_bytes, text):
+            made = of(b.column(b.schema.get_field_index(text)).to_pylist())
+            cols = [b.column(b.schema.get_field_index(c)) for c in others] + [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, types, strict=True)]
+            yield pa.RecordBatch.from_arrays(cols, names=[*others, *out])
+
+    schema = T.StructType([docs.schema[c] for c in others])
+    for c, t in out.items():
+        schema = schema.add(c, t)
+    return docs.select(*(f"`{c}`" for c in others), text).mapInArrow(run, schema)
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """The rows as the column ``_row``, beside the text: extra columns can't clash with any made from it."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), "text")
+
+
+def with_text(made: DataFrame, schema: T.StructType, text: str) -> DataFrame:
+    """Rows of ``whole_rows`` with another text, and n_chars counted anew."""
+    new = {"text": F.col(text)}
+    if "n_chars" in schema.names:
+        new["n_chars"] = F.char_length(text).cast(schema["n_chars"].dataType)
+    return made.select(*(new.get(c, F.col("_row").getField(c)).alias(c) for c in schema.names))

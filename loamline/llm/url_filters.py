@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import literal_table, table
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
@@ -32,8 +32,7 @@ ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuv
 
 
 def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
-    rows = F.array(*(F.struct(*(F.lit(x).alias(n) for x, n in zip(r, ("rule_host", "rule_path", "rule_verdict"), strict=True))) for r in rules))
-    return spark.range(1).select(F.inline(rows))
+    return literal_table(spark, rules, {"rule_host": "string", "rule_path": "string", "rule_verdict": "string"})
 
 
 def host_and_path(url: str = "url") -> tuple[F.Column, F.Column]:
