@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontamination, pii, quality_rules, sharding, url_filters
+from . import decontamination, pieces, pii, quality_rules, sharding, url_filters
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op7_benchmark_decontamination": decontamination.op7_benchmark_decontamination,
     "op8_sharding": sharding.op8_sharding,
     "op4_pii": pii.op4_pii,
+    "op5_sentencepiece": pieces.op5_sentencepiece,
     "op6_url_filters": url_filters.op6_url_filters,
 }
 SQL = {"op6_url_filters": url_filters.OP6_SQL}
