@@ -109,9 +109,7 @@ def map_texts(docs: DataFrame, make: Callable[[], Callable[[list], list[Sequence
             cols = [b.column(b.schema.get_field_index(c)) for c in others] + [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, types, strict=True)]
             yield pa.RecordBatch.from_arrays(cols, names=[*others, *out])
 
-    schema = T.StructType([docs.schema[c] for c in others])
-    for c, t in out.items():
-        schema = schema.add(c, t)
+    schema = T.StructType([*(docs.schema[c] for c in others), *T.StructType.fromDDL(", ".join(f"{c} {t}" for c, t in out.items())).fields])
     return docs.select(*(f"`{c}`" for c in others), text).mapInArrow(run, schema)
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontamination, pieces, pii, quality_rules, sharding, url_filters, warc
+from . import decontamination, lm_scoring, pieces, pii, quality_rules, sharding, url_filters, warc
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op7_benchmark_decontamination": decontamination.op7_benchmark_decontamination,
     "op8_sharding": sharding.op8_sharding,
+    "op2_lm_scoring": lm_scoring.op2_lm_scoring,
     "op3_warc": warc.op3_warc,
     "op4_pii": pii.op4_pii,
     "op5_sentencepiece": pieces.op5_sentencepiece,
