@@ -131,7 +131,7 @@ class Encoder:
         n, most = len(codes), self.most
         window = np.zeros((n, most), np.int32)
         live = np.ones(n, bool)
-        for k in range(most):
+        for k in range(min(most, n)):
             window[: n - k, k] = codes[k:] if k == 0 else np.where(live[: n - k], codes[k:], 0)
             live[: n - k] &= codes[k:] > 0
             live[n - k :] = False

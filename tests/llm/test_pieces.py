@@ -28,6 +28,7 @@ def test_forgetting_changes_nothing(monkeypatch):
     one = p.Encoder(p.Vocabulary.read(data)).encode(texts())
     monkeypatch.setattr(p, "REMEMBERED", 20)
     monkeypatch.setattr(p, "INDEX_CHARS", 50)
+    assert list(p.Encoder(p.Vocabulary.read(data)).encode(["ab"])[0]) == list(p.Encoder(p.Vocabulary.read(data)).encode(["ab", "the longer text of them"])[0])
     two = p.Encoder(p.Vocabulary.read(data))
     assert all((a == b).all() for t, a in zip(texts(), one, strict=True) for b in two.encode([t]))
 
