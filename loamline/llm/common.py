@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -55,6 +56,12 @@ def dropped(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
+def released(spark: SparkSession) -> None:
+    """Lets Spark drop shuffle files of finished steps, which it does once their plans are garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def heavy_lookup(rows: DataFrame, facts: DataFrame, key: str, weight: str, share: int = 2000) -> DataFrame:
     """Left join of rows with facts (one row per key), keys of many rows apart.
 

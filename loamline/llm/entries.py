@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, lm_scoring, near_dedup, pieces, pii, quality_rules, sharding, url_filters, warc
+from . import decontamination, lm_scoring, near_dedup, pieces, pii, quality_rules, repeats, sharding, url_filters, warc
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -14,5 +14,6 @@ QUERIES = {
     "op5_sentencepiece": pieces.op5_sentencepiece,
     "op6_url_filters": url_filters.op6_url_filters,
     "op9_minhash_near_dedup": near_dedup.op9_minhash_near_dedup,
+    "op10_suffix_array_dedup": repeats.op10_suffix_array_dedup,
 }
 SQL = {"op6_url_filters": url_filters.OP6_SQL}
