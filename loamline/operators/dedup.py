@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from ..plans.shared import cut
 
 BANDS, BITS = 4, 16
 
@@ -32,17 +33,18 @@ def near(files: DataFrame, threshold: float = 0.92) -> DataFrame:
     without undecided similar files before it is decided, as a copy of the most
     similar accepted one or else as accepted.
     """
-    prints = files.withColumns({"family": t.content_family("path"), "print": t.simhash("content")}).select("path", "family", "print").persist()
-    pairs = candidate_pairs(prints, threshold).persist()
-    left = prints.select("path").persist()
-    accepted = left.limit(0)
+    prints = cut(files.withColumns({"family": t.content_family("path"), "print": t.simhash("content")}).select("path", "family", "print"))
+    pairs = cut(candidate_pairs(prints, threshold))
+    # Files without similar ones before them are accepted at once; rounds are for the others.
+    left = cut(pairs.select("path").distinct())
+    accepted = cut(prints.select("path").join(left, "path", "left_anti"))
     while left.limit(1).count():
-        # Wait for undecided files before; copies of accepted ones are out at once.
         copies = pairs.join(accepted.withColumnRenamed("path", "earlier"), "earlier", "left_semi").select("path").distinct()
-        alive = left.join(copies, "path", "left_anti")
+        alive = cut(left.join(copies, "path", "left_anti"))
         waiting = pairs.join(alive.withColumnRenamed("path", "earlier"), "earlier", "left_semi").select("path").distinct()
-        accepted = accepted.unionByName(alive.join(waiting, "path", "left_anti")).persist()
-        left = alive.join(accepted, "path", "left_anti").persist()
+        now = alive.join(waiting, "path", "left_anti")
+        accepted = cut(accepted.unionByName(now))
+        left = cut(alive.join(accepted, "path", "left_anti"))
     best = pairs.join(accepted.withColumnRenamed("path", "earlier"), "earlier", "left_semi").groupBy("path").agg(F.max(F.struct("similarity")).alias("_s"), F.max_by("earlier", F.struct("similarity", F.col("earlier"))).alias("_any"), F.collect_list(F.struct("similarity", "earlier")).alias("_all"))
     # Of equally similar ones the first.
     best = best.select("path", F.col("_s.similarity").alias("similarity_score"), F.expr("array_min(transform(filter(_all, x -> x.similarity = _s.similarity), x -> x.earlier))").alias("canonical_source"))

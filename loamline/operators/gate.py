@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from ..plans.shared import cut
 
 # Word lists that decide results.
 BOILERPLATE = ["cookie", "yes, please", "no, do not track me", "sign in", "log in", "create an account"]
@@ -112,27 +113,26 @@ def stateless(samples: DataFrame, cfg: GateConfig | None = None) -> DataFrame:
     return samples.withColumns({"before": reasons_before(cfg or GateConfig()), "after": reasons_after()})
 
 
-def gated(samples: DataFrame, cfg: GateConfig | None = None, most_rounds: int = 100) -> DataFrame:
+def gated(samples: DataFrame, cfg: GateConfig | None = None) -> DataFrame:
     """samples (with seq) and their ``rejection_reason``, null for accepted ones."""
     cfg = cfg or GateConfig()
     n = cfg.outputs_per_pair
-    keyed = stateless(samples, cfg).withColumns({"_hash": t.output_hash("output", cfg.normalise_hash), "_pair": F.sha2(F.concat_ws("\x00", t.strip("instruction"), t.strip("input")), 256)}).persist()
+    keyed = stateless(samples, cfg).withColumns({"_hash": t.output_hash("output", cfg.normalise_hash), "_pair": F.sha2(F.concat_ws("\x00", t.strip("instruction"), t.strip("input")), 256)})
+    keyed = cut(keyed)
     left = keyed.where("before is null and after is null").select("seq", "_hash", "_pair")
-    accepted = left.select("seq", "_hash", "_pair").limit(0)
-    for _ in range(most_rounds):
-        if not left.limit(1).count():
-            break
+    accepted = cut(left.limit(0))
+    while left.limit(1).count():
         used = accepted.groupBy("_pair").agg(F.count("*").alias("_used"))
         ranked = left.join(used, "_pair", "left").select(
             "seq", "_hash", "_pair", F.row_number().over(Window.partitionBy("_hash").orderBy("seq")).alias("_h"), F.row_number().over(Window.partitionBy("_pair").orderBy("seq")).alias("_p"), F.coalesce("_used", F.lit(0)).alias("_used")
         )
         now = ranked.where((F.col("_h") == 1) & ((F.col("_p") + F.col("_used") <= n) if n > 0 else F.lit(True))).select("seq", "_hash", "_pair")
-        accepted = accepted.unionByName(now).checkpoint() if samples.sparkSession.sparkContext.getCheckpointDir() else accepted.unionByName(now).persist()
+        accepted = cut(accepted.unionByName(now))
         rest = left.join(accepted.select("_hash"), "_hash", "left_anti")
         if n > 0:
             full = accepted.groupBy("_pair").count().where(F.col("count") >= n).select("_pair")
             rest = rest.join(full, "_pair", "left_anti")
-        left = rest.persist()
+        left = cut(rest)
     pair = Window.partitionBy("_pair").orderBy("seq")
     full_at = accepted.withColumn("_n", F.row_number().over(pair)).where(F.col("_n") == max(n, 1)).select("_pair", F.col("seq").alias("_full"))
     same_pair = accepted.select("_pair", "_hash", F.col("seq").alias("_own"))

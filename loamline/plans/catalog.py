@@ -2,9 +2,279 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from ..functions import html
+from ..functions import text as t
+from ..operators import dedup, evaluation, gate, metrics, projects, refine, templates
+from ..sources import crawl
 
-def entry(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("lang").count()
+NUMBERS = "\n".join(map(str, range(1, 45)))
+CODE = "<?php\n\nnamespace A;\n\nuse B\\C;\nuse D;\n\n"
+
+#: Samples drawn from documents, in SQL that both engines take.
+SAMPLES = f"""
+SELECT doc_id AS seq, lang,
+  CASE doc_id % 5 WHEN 0 THEN 'code_reference' WHEN 1 THEN 'yaml_reference' WHEN 2 THEN 'doc_summary' WHEN 3 THEN 'twig_reference' ELSE 'sdc_reference' END AS type,
+  CASE doc_id % 6 WHEN 0 THEN 'bugfix' WHEN 1 THEN 'refactor' WHEN 2 THEN 'write_from_spec' WHEN 3 THEN 'explain_and_implement' WHEN 4 THEN 'retrieval' ELSE 'other' END AS sample_type,
+  CASE WHEN doc_id % 3 = 0 THEN 'repos/' || source || '/tests/F' || CAST(doc_id AS STRING) || 'Test.php' WHEN doc_id % 4 = 0 THEN 'repos/' || source || '/src/F' || CAST(doc_id AS STRING) || 'Interface.php' ELSE 'docs/' || source || '/d' || CAST(doc_id AS STRING) || '.md' END AS source,
+  CASE WHEN doc_id % 5 = 2 THEN 'Explain the following topic: ' || left(text, 20) WHEN doc_id % 5 = 1 THEN 'Show the yaml configuration of ' || source WHEN doc_id % 5 = 0 THEN 'Show me the implementation of the class ' || CASE WHEN doc_id % 2 = 0 THEN 'C' ELSE 'c' END || CAST(doc_id AS STRING) || ' in the file f.php.' ELSE left(text, 40) END AS instruction,
+  CASE WHEN doc_id % 13 = 0 THEN ' ' ELSE 'File: ' || source END AS input, left(text, 20) AS topic,
+  CASE WHEN doc_id % 7 = 0 THEN 'Instruction: ' || text WHEN doc_id % 11 = 0 THEN text || chr(10) || '{NUMBERS}' WHEN doc_id % 17 = 0 THEN '<?php' || chr(10) || 'interface I' || CAST(doc_id AS STRING) || ' {{}}' || chr(10) || text
+       WHEN doc_id % 19 = 0 THEN '```' || chr(10) || text WHEN doc_id % 23 = 0 THEN '```' || chr(10) || '{NUMBERS}' || chr(10) || '```' || chr(10) || text ELSE text END AS output
+FROM documents
+"""
+
+
+def docs(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/documents.parquet")
+
+
+def samples(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.sql(SAMPLES.replace("FROM documents", "FROM {documents}").replace(" {}", " {{}}"), documents=docs(spark, sf))
+
+
+# --- text --------------------------------------------------------------------
+
+
+def fn01_normalize(spark, sf):
+    return docs(spark, sf).select("doc_id", F.md5(t.normalized(F.concat(F.lit(" \r\n"), F.replace("text", F.lit(". "), F.lit(".  \r\n")), F.lit("  ")))).alias("h"))
+
+
+def fn05_hashes(spark, sf):
+    return docs(spark, sf).select("doc_id", t.output_hash("text").alias("raw"), t.output_hash("text", True).alias("normal"), t.letters("text").cast("long").alias("letters"))
+
+
+def fn07_code_blocks(spark, sf):
+    return samples(spark, sf).select("seq", F.size(t.code_blocks("output")).cast("long").alias("n"), F.coalesce(F.md5(F.get(t.code_blocks("output"), F.lit(0))), F.lit("")).alias("first"))
+
+
+def fn14_format_sanity(spark, sf):
+    return samples(spark, sf).select("seq", t.wrapper_echo("output").alias("echo"), F.round(t.repeated_line_ratio("output"), 6).alias("repeated"), (t.numeric_streak("output", True) >= 40).alias("streak"), t.format_sanity("output").alias("sanity"))
+
+
+def pj18_paths(spark, sf):
+    s = samples(spark, sf)
+    return s.select("seq", t.file_hint("source").alias("file"), t.module_hint("source").alias("module"), t.content_family("source").alias("family"), t.kind_from_path("source").alias("kind"), t.source_bucket("source").alias("bucket"), t.symbol_name("topic").alias("symbol"), t.slug("topic").alias("slug"))
+
+
+def fn21_labels(spark, sf):
+    ids = docs(spark, sf).select("doc_id", F.transform(F.sequence(F.lit(1), (F.col("doc_id") % 9 + 3).cast("int")), lambda i: (i * 10).cast("int")).alias("ids"))
+    marked = ids.withColumn("labels", t.completion_labels("ids", F.array(F.lit(30), F.lit(40))))
+    size = t.rounded_up(F.max(F.size("ids")).over(Window.partitionBy(F.floor(F.col("doc_id") / 8))), 8)
+    out = marked.withColumn("size", size)
+    return out.select("doc_id", F.array_join(t.padded("ids", F.col("size"), 0), ",").alias("ids"), F.array_join(t.padded("labels", F.col("size"), -100), ",").alias("labels"))
+
+
+# --- rules -------------------------------------------------------------------
+
+GATE = gate.GateConfig(max_by_type={"doc_summary": 6000}, min_by_type={"yaml_reference": 20}, need_input=["yaml_reference"], denied_topics=["the "], doc_sources=["docs/", "repos/src1"])
+
+
+def fl01_gate_rules(spark, sf):
+    return gate.stateless(samples(spark, sf), GATE).select("seq", "before", "after")
+
+
+def fl01_gate(spark, sf):
+    return gate.gated(samples(spark, sf), GATE).select("seq", "type", "rejection_reason")
+
+
+def ag02_gate_report(spark, sf):
+    rules = gate.stateless(samples(spark, sf), GATE).withColumn("rejection_reason", F.coalesce("before", "after"))
+    return metrics.reasons_report(rules).select(F.coalesce("type", F.lit("*")).alias("type"), F.coalesce("rejection_reason", F.lit("*")).alias("reason"), "n", "level")
+
+
+def fl10_validation(spark, sf):
+    return samples(spark, sf).select("seq", refine.validation_reason(("yaml_reference",)).alias("reason"))
+
+
+def fl13_categories(spark, sf):
+    p = {"a": ["the\\s+of", "\\bing"], "b": ["license"], "c": []}
+    return samples(spark, sf).select("seq", *(refine.matches(k, p).alias(k) for k in p))
+
+
+def fl21_audit(spark, sf):
+    return metrics.artifact_audit(samples(spark, sf), 12, 0.31)
+
+
+# --- refinement --------------------------------------------------------------
+
+
+def wn14_line_chunks(spark, sf):
+    out = refine.line_chunks(samples(spark, sf), 20, 5)
+    return out.select("seq", "chunk_index", "chunk_total", "line_start", "line_end", "input", F.md5("output").alias("h"))
+
+
+def wn15_char_chunks(spark, sf):
+    out = refine.char_chunks(samples(spark, sf), 2000, 2)
+    return out.select("seq", "char_chunk_index", "char_chunk_total", "char_chunk_start_line", "char_chunk_end_line", F.length("output").alias("n"))
+
+
+def wn01_first_pairs(spark, sf):
+    return dedup.first_of(samples(spark, sf), ["instruction", "output"]).select("seq")
+
+
+def wn02_exact_dedup(spark, sf):
+    files = docs(spark, sf).select(F.format_string("f%06d.md", "doc_id").alias("path"), F.col("text").alias("content"))
+    return dedup.exact(files).select("path", "hash", "canonical_path", F.when(F.col("path") == F.col("canonical_path"), "canonical").otherwise("exact").alias("dup_type"))
+
+
+def wn03_near_dedup(spark, sf):
+    first = wn02_exact_dedup(spark, sf).where("dup_type = 'canonical'").select("path")
+    files = docs(spark, sf).select(F.format_string("f%06d.md", "doc_id").alias("path"), F.col("text").alias("content"))
+    return dedup.near(files.join(first, "path", "left_semi"))
+
+
+def wn04_ranked_dedup(spark, sf):
+    return refine.ranked_dedup(samples(spark, sf)).select("seq", "kept")
+
+
+def wn07_split(spark, sf):
+    return refine.positional_split(samples(spark, sf)).select("seq", "split")
+
+
+def wn08_rebalance(spark, sf):
+    return refine.rebalanced(samples(spark, sf), 0.2, 42).select("seq", "kept")
+
+
+def wn09_share_cap(spark, sf):
+    return refine.share_capped(samples(spark, sf), "lang", 0.45, 42, F.when(F.contains("output", F.lit("license")), 1).otherwise(0)).select("seq", "lang", "kept")
+
+
+def wn10_quota(spark, sf):
+    return refine.quota_sample(samples(spark, sf), {"a": 20}, 0.3, 42, {"a": ["license"]}).select("seq")
+
+
+def wn11_round_robin(spark, sf):
+    picked = refine.quota_sample(samples(spark, sf), {"a": 20}, 0.3, 42, {"a": ["license"]})
+    return refine.round_robin(picked, ["bugfix", "refactor", "write_from_spec"], 42).select("seq", "augmentation_type")
+
+
+def wn12_grouped_split(spark, sf):
+    return refine.grouped_split(docs(spark, sf).select("doc_id", "source")).select("doc_id", "source", "split")
+
+
+def wn17_turn_pairs(spark, sf):
+    conv = spark.read.parquet(f"{sf}/conversations.parquet")
+    after = Window.partitionBy("conv_id").orderBy("turn")
+    pairs = conv.select("conv_id", "turn", "role", F.md5("text").alias("ask"), F.lead("role").over(after).alias("next_role"), F.md5(F.lead("text").over(after)).alias("answer"))
+    return pairs.where("role = 'user' and next_role = 'assistant'").select("conv_id", "turn", "ask", "answer")
+
+
+# --- figures -----------------------------------------------------------------
+
+
+def ag04_percentiles(spark, sf):
+    return metrics.nearest_rank(samples(spark, sf).select("type", F.length("output").cast("long").alias("n")), "n", [0.5, 0.9, 0.95, 0.99], ["type"])
+
+
+def ag05_empty_inputs(spark, sf):
+    return metrics.empty_input_share(samples(spark, sf))
+
+
+def ag06_ambiguity(spark, sf):
+    return metrics.ambiguity(samples(spark, sf).withColumn("input", F.lit("")))
+
+
+def ag07_duplicates(spark, sf):
+    return metrics.duplicate_ratio(samples(spark, sf))
+
+
+def ag08_concentration(spark, sf):
+    return metrics.concentration(samples(spark, sf), t.source_bucket("source"))
+
+
+def results(spark, sf):
+    d = docs(spark, sf).select("doc_id", "text")
+    return d.select(
+        F.col("doc_id").alias("seq"), F.concat(F.lit("m"), F.col("doc_id") % 3).alias("model_name"), F.concat(F.lit("p"), F.floor(F.col("doc_id") / 6) % 5).alias("prompt_id"), F.when(F.floor(F.col("doc_id") / 3) % 2 == 0, "fine_tuned").otherwise("baseline").alias("variant"),
+        ((F.col("doc_id") * 7 % 11) / 10).alias("score"), (F.col("doc_id") % 4 > 0).alias("passed"), ((F.col("doc_id") % 5) / 4).alias("sanity"), (F.col("doc_id") % 5 > 2).alias("is_sane"), F.concat(F.lit("c"), F.floor(F.col("doc_id") / 6) % 2).alias("category"),
+    )
+
+
+def ag12_evaluation(spark, sf):
+    return evaluation.summary(results(spark, sf)).withColumn("model_name", F.coalesce("model_name", F.lit("*")))
+
+
+def ag11_feedback(spark, sf):
+    return evaluation.feedback_targets(evaluation.deltas(results(spark, sf)))
+
+
+def fn17_scores(spark, sf):
+    d = docs(spark, sf)
+    lint = F.when(F.col("doc_id") % 3 > 0, (F.col("doc_id") % 4) / 3)
+    style = F.when(F.col("doc_id") % 2 == 0, (F.col("doc_id") % 5) / 4)
+    return d.select("doc_id", evaluation.result_score((F.col("doc_id") % 6) / 5, [lint, style]).alias("score"))
+
+
+def ag15_scorecard(spark, sf):
+    s = samples(spark, sf)
+    values = metrics.duplicate_ratio(s).join(F.broadcast(metrics.ambiguity(s)))
+    return metrics.scorecard(values, {"duplicates_ok": ("duplicate_ratio", "<=", 0.05), "ambiguity_ok": ("row_ratio", "<=", 0.02), "some_pairs": ("pairs", ">=", 0)})
+
+
+# --- sources -----------------------------------------------------------------
+
+
+def sc15_storage_paths(spark, sf):
+    return spark.read.parquet(f"{sf}/pages.parquet").select("page_id", crawl.storage_path("url").alias("path"))
+
+
+def sc16_links(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    return crawl.links(pages.select(F.regexp_replace("url", "[?#].*$", "").alias("url"), "html")).groupBy("url").agg(F.count("*").alias("n"), F.countDistinct("link").alias("n_distinct"))
+
+
+def fn03_markdown(spark, sf):
+    return spark.read.parquet(f"{sf}/pages.parquet").select("page_id", html.markdown("html").alias("markdown"))
+
+
+NODES = """
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 9 = 0 THEN '' ELSE 'project_' || CAST(o_orderkey AS STRING) END AS machine_name, CASE WHEN o_orderkey % 10 = 0 THEN 'Old [archived]' ELSE 'Title' END AS title, o_orderkey % 7 > 0 AS has_composer,
+  CASE o_orderkey % 4 WHEN 0 THEN '^11' WHEN 1 THEN '^10' WHEN 2 THEN '11.x-dev' ELSE '^10.3 || ^11' END AS core_constraint, CASE o_orderkey % 3 WHEN 0 THEN '^8.3 || ^8.4' WHEN 1 THEN '>=8.1' ELSE '8.10' END AS language_constraint,
+  o_custkey % 50 AS usage, o_orderkey % 2 AS recent, o_orderkey % 5 = 0 AS has_tests
+FROM orders
+"""
+
+
+def nodes(spark, sf):
+    return spark.sql(NODES.replace("FROM orders", "FROM {orders}"), orders=spark.read.parquet(f"{sf}/orders.parquet"))
+
+
+def fl19_discovery(spark, sf):
+    n = nodes(spark, sf).withColumn("reason", F.coalesce(projects.discovery_reason((8, 3), ["archived"]), F.lit("kept")))
+    return n.groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def so01_ranking(spark, sf):
+    n = nodes(spark, sf).withColumns({"core_ok": projects.core_supported(F.col("core_constraint")).cast("int"), "language_ok": projects.supports(F.col("language_constraint"), 8, 3).cast("int")}).where("machine_name <> ''")
+    return projects.ranked(n.withColumn("has_tests", F.col("has_tests").cast("int")), 200).select("id", "machine_name", "core_ok", "language_ok")
+
+
+def pj05_doc_samples(spark, sf):
+    files = docs(spark, sf).select(F.format_string("docs/a/%d.md", "doc_id").alias("path"), F.concat(F.lit("# Title "), F.col("doc_id"), F.lit(" {#x}\n\n"), F.replace("text", F.lit("\n"), F.lit("\n\n"))).alias("content"))
+    return templates.doc_sample(files).select("source", "topic", "instruction", F.md5("output").alias("h"))
+
+
+def pj01_code_samples(spark, sf):
+    files = docs(spark, sf).select(F.format_string("repos/mod/src/f%d.php", "doc_id").alias("path"), F.concat(F.lit(CODE + "// class Decoy\nclass Thing"), F.col("doc_id"), F.lit(" {}\n")).alias("content"))
+    return templates.code_sample(files).select("source", "instruction", "input", "symbol_extraction_method")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        fn01_normalize, fn05_hashes, fn07_code_blocks, fn14_format_sanity, pj18_paths, fn21_labels, fl01_gate_rules, fl01_gate, ag02_gate_report, fl10_validation, fl13_categories, fl21_audit, wn14_line_chunks, wn15_char_chunks, wn01_first_pairs,
+        wn02_exact_dedup, wn03_near_dedup, wn04_ranked_dedup, wn07_split, wn08_rebalance, wn09_share_cap, wn10_quota, wn11_round_robin, wn12_grouped_split, wn17_turn_pairs, ag04_percentiles, ag05_empty_inputs, ag06_ambiguity, ag07_duplicates, ag08_concentration,
+        ag12_evaluation, ag11_feedback, fn17_scores, ag15_scorecard, sc15_storage_paths, sc16_links, fn03_markdown, fl19_discovery, so01_ranking, pj05_doc_samples, pj01_code_samples,
+    )
+}
+
+
+def entry(spark: SparkSession, sf: str) -> DataFrame:
+    """The flagship: rejection reasons of the gate by type."""
+    return ag02_gate_report(spark, sf)
+
+
+from .oracles import SQL  # noqa: E402, F401
