@@ -10,7 +10,9 @@ segment is a run of windows with one anchor; it is what its windows cover.
    the same task has whole, and deals the rest by the anchor's hash.
 2. In each part, a segment that a smaller document has whole goes. Of the others
    one of each kind is left; it is done with if no other segment has its anchor.
-3. The bytes of what is left are fetched and dealt by the anchor again. Each part
+3. The bytes of what is left are fetched and dealt by the anchor again; where an
+   anchor has many segments, by the anchor and the half of its surroundings that
+   each window holds, which splits what frequent strings bring together. Each part
    is concatenated, its suffix array and Burrows-Wheeler transform are built,
    and common prefixes are derived by increasing length: a boundary between
    suffixes at length n gives, by stepping back one byte, the boundaries at
@@ -36,6 +38,8 @@ from pyspark.sql import functions as F
 from .common import heavy_lookup, pieces, released, stored, table
 
 LENGTH, ANCHOR, PIECE, CHUNK = 50, 24, 2_000_000, 1_500_000
+#: An anchor with more open segments than this is dealt by what stands beside it.
+HOT = 256
 #: Bytes of text for each part that anchors are dealt to.
 PART_BYTES = 24_000_000
 LAST = 2**63 - 1
@@ -124,7 +128,7 @@ def run_rows(kind: int, e: np.ndarray) -> pa.RecordBatch:
 
 
 def gone_and_open(docs: DataFrame, parts: int) -> DataFrame:
-    """Rows of RUNS: kind 0, bytes to remove; kind 1, segments whose bytes must be compared. docs: doc, key, text."""
+    """Rows of RUNS: kind 0, bytes to remove; 1, segments whose bytes must be compared; 2, those of anchors that have many. docs: doc, key, text."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -173,9 +177,10 @@ def gone_and_open(docs: DataFrame, parts: int) -> DataFrame:
             new_h[1:] = h[1:] != h[:-1]
             new_s[1:] = new_h[1:] | (s[1:] != s[:-1])
             group = np.cumsum(new_h) - 1
-            open_ = np.bincount(group, new_s)[group] > 1 if len(e) else new_h
-            if open_.any():
-                yield from (run_rows(1, x) for x in cut(e[open_]))
+            kinds = np.bincount(group, new_s)[group] if len(e) else group
+            for kind, some in ((1, (kinds > 1) & (kinds <= HOT)), (2, kinds > HOT)):
+                if some.any():
+                    yield from (run_rows(kind, x) for x in cut(e[some]))
 
     dealt = docs.select("doc", "key", "text").mapInArrow(deal, "part int, kind int, entries binary")
     return dealt.repartition(parts, "part").mapInArrow(settle, RUNS)
@@ -263,16 +268,41 @@ def repeated(parts: list[bytes], doc: np.ndarray, least: int = LENGTH) -> list[l
     return out
 
 
+def beside(raw: bytes, h: int, length: int = LENGTH, anchor: int = ANCHOR) -> Iterator[tuple[int, int, bytes]]:
+    """A segment as smaller ones, each with a key of its own: key, start, bytes.
+
+    A window has half of what is not its anchor on the anchor's left or on its
+    right. Its key is the anchor with that half; equal windows have equal keys.
+    """
+    up, down = powers(len(raw) + 1)
+    buf = np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(buf * up[: len(raw)])])
+    grams = mix((sums[anchor:] - sums[:-anchor]) * down[: len(raw) - anchor + 1])
+    at = np.nonzero(grams.view(np.int64) == h)[0]
+    starts, half = np.arange(len(raw) - length + 1), (length - anchor) // 2
+    place = at[np.searchsorted(at, starts)]
+    left = place - starts >= half
+    first = np.ones(len(starts), bool)
+    first[1:] = (place[1:] != place[:-1]) | (left[1:] != left[:-1])
+    begin = np.nonzero(first)[0]
+    for a, z in zip(begin.tolist(), [*begin[1:].tolist(), len(starts)], strict=True):
+        p = int(place[a])
+        context = b"L" + raw[p - half : p + anchor] if left[a] else b"R" + raw[p : p + anchor + half]
+        yield int.from_bytes(hashlib.blake2b(context, digest_size=8).digest(), "little", signed=True), a, raw[a : z - 1 + length]
+
+
 def compared(docs: DataFrame, open_: DataFrame, parts: int) -> DataFrame:
     """Rows of RUNS to remove, from the bytes of open segments."""
-    lists = open_.groupBy("doc", "key").agg(F.collect_list(F.struct("h", "at", "size")).alias("found"))
+    lists = open_.groupBy("doc", "key").agg(F.collect_list(F.struct("h", "at", "size", "kind")).alias("found"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, PIECE):
             rows = []
             for doc, key, found, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 raw = (text or "").encode("utf-8", "surrogatepass")
-                rows += [(doc, key, f["h"], f["at"], raw[f["at"] : f["at"] + f["size"]]) for f in found]
+                for f in found:
+                    part = raw[f["at"] : f["at"] + f["size"]]
+                    rows += [(doc, key, f["h"], f["at"], part)] if f["kind"] == 1 else [(doc, key, k, f["at"] + a, x) for k, a, x in beside(part, f["h"])]
             for k in range(0, len(rows), 100_000):
                 cols = list(zip(*rows[k : k + 100_000], strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["doc", "key", "h", "at", "bytes"])
@@ -312,7 +342,7 @@ def without_repeats(docs: DataFrame, clean: bool = False) -> DataFrame:
     copies, _ = stored(keyed.groupBy("key").agg(F.min("doc").alias("least"), F.count("*").alias("n")).where("n > 1"), "copies")
     runs, _ = stored(gone_and_open(keyed, parts), "runs")
     released(spark)
-    more, _ = stored(compared(keyed.select("doc", "key", "text"), runs.where("kind = 1"), parts), "more-runs")
+    more, _ = stored(compared(keyed.select("doc", "key", "text"), runs.where("kind > 0"), parts), "more-runs")
     released(spark)
     every = runs.where("kind = 0").unionByName(more).groupBy("doc", "key").agg(F.collect_list(F.struct("at", "size")).alias("runs"))
     marked = heavy_lookup(keyed, copies, "key", "n").withColumn("copy", F.coalesce(F.col("doc") > F.col("least"), F.lit(False)))

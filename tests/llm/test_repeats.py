@@ -45,6 +45,13 @@ def test_against_brute_force(spark, monkeypatch):
     assert sorted(map(tuple, r.without_repeats(docs.repartition(5)).collect()), key=str) == brute(rows)
 
 
+def test_frequent_anchors_are_split_and_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(r, "HOT", 1)
+    rows = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, r.without_repeats(docs).collect()), key=str) == brute(rows)
+
+
 def test_shared_prefixes_against_sorting():
     g = np.random.default_rng(2)
     for n in (1, 2, 30, 300):
