@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import html
 from ..functions import text as t
-from ..operators import dedup, evaluation, gate, metrics, projects, refine, templates
+from ..operators import augment, dedup, evaluation, gate, metrics, projects, refine, templates
 from ..sources import crawl
 
 NUMBERS = "\n".join(map(str, range(1, 45)))
@@ -262,12 +262,54 @@ def pj01_code_samples(spark, sf):
     return templates.code_sample(files).select("source", "instruction", "input", "symbol_extraction_method")
 
 
+def coded(spark, sf):
+    """Code with what augmentation looks at, drawn from documents."""
+    return docs(spark, sf).selectExpr(
+        "doc_id AS seq", "'i' AS instruction", "'n' AS input", "'code_reference' AS type", "'retrieval' AS sample_type", "concat('repos/m/F', doc_id, '.php') AS source", "CASE doc_id % 4 WHEN 0 THEN 'bugfix' WHEN 1 THEN 'refactor' WHEN 2 THEN 'write_from_spec' ELSE 'explain_and_implement' END AS augmentation_type",
+        "concat('<?php', chr(10), CASE WHEN doc_id % 3 = 0 THEN 'declare(strict_types=1);' ELSE '' END, chr(10), 'use A;', chr(10), 'trait T', doc_id, ' {', chr(10), CASE WHEN doc_id % 5 = 0 THEN 'public function z() {}' ELSE 'function b() {}' END, chr(10), 'function a() {}', chr(10), text) AS output",
+    )
+
+
+def pj12_broken(spark, sf):
+    return coded(spark, sf).select("seq", augment.broken("output", 6).alias("broken"))
+
+
+def pj13_augmented(spark, sf):
+    return augment.augmented(coded(spark, sf), 6, 20).select("seq", "instruction", F.md5("input").alias("input"), F.md5("output").alias("output"), "sample_type")
+
+
+def fl20_checks(spark, sf):
+    d = docs(spark, sf).selectExpr("doc_id", "CASE doc_id % 3 WHEN 0 THEN 'service_di' WHEN 1 THEN 'sdc_component' ELSE 'other' END AS prompt", "concat(text, CASE WHEN doc_id % 2 = 0 THEN ' Services: logger.factory' ELSE ' x.component.yml' END) AS output")
+    checks = augment.prompt_checks("prompt", "output")
+    return d.select("doc_id", F.size(F.filter(F.map_values(checks), lambda v: v)).cast("long").alias("held"), F.round(augment.required_share(checks), 4).alias("share"))
+
+
+def sc12_branches(spark, sf):
+    return docs(spark, sf).select("doc_id", F.array_join(augment.branches("lang", ["main", "en", "1.x", "de"]), ",").alias("branches"))
+
+
+def sc19_prefixes(spark, sf):
+    return spark.read.parquet(f"{sf}/pages.parquet").select("page_id", augment.default_prefix(F.when(F.col("page_id") % 4 == 0, F.concat(F.lit("https://symfony.com/"), "page_id")).otherwise(F.col("url"))).alias("prefix"))
+
+
+def ag17_fetches(spark, sf):
+    f = spark.read.parquet(f"{sf}/pages.parquet").select((F.col("page_id") % 5 > 0).alias("success"), (F.col("page_id") % 3).alias("pages"))
+    return crawl.fetch_rollup(f)
+
+
+def st01_sets(spark, sf):
+    s = samples(spark, sf)
+    tests, others = s.where(refine.test_rows()), s.where(~refine.test_rows())
+    return tests.select("seq", F.lit("test").alias("part")).unionByName(others.join(wn01_first_pairs(spark, sf), "seq", "left_anti").select("seq", F.lit("repeat").alias("part")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         fn01_normalize, fn05_hashes, fn07_code_blocks, fn14_format_sanity, pj18_paths, fn21_labels, fl01_gate_rules, fl01_gate, ag02_gate_report, fl10_validation, fl13_categories, fl21_audit, wn14_line_chunks, wn15_char_chunks, wn01_first_pairs,
         wn02_exact_dedup, wn03_near_dedup, wn04_ranked_dedup, wn07_split, wn08_rebalance, wn09_share_cap, wn10_quota, wn11_round_robin, wn12_grouped_split, wn17_turn_pairs, ag04_percentiles, ag05_empty_inputs, ag06_ambiguity, ag07_duplicates, ag08_concentration,
         ag12_evaluation, ag11_feedback, fn17_scores, ag15_scorecard, sc15_storage_paths, sc16_links, fn03_markdown, fl19_discovery, so01_ranking, pj05_doc_samples, pj01_code_samples,
+        pj12_broken, pj13_augmented, fl20_checks, sc12_branches, sc19_prefixes, ag17_fetches, st01_sets,
     )
 }
 

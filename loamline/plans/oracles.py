@@ -54,6 +54,9 @@ RESULTS = """results AS (SELECT doc_id AS seq, 'm' || (doc_id % 3) AS model_name
   deltas AS (SELECT model_name, category, round(score::DOUBLE - b::DOUBLE, 4) AS delta FROM results JOIN base USING (model_name, prompt_id) WHERE variant = 'fine_tuned')"""
 
 
+CODED = """WITH coded AS (SELECT doc_id AS seq, '<?php' || chr(10) || CASE WHEN doc_id % 3 = 0 THEN 'declare(strict_types=1);' ELSE '' END || chr(10) || 'use A;' || chr(10) || 'trait T' || doc_id || ' {' || chr(10) || CASE WHEN doc_id % 5 = 0 THEN 'public function z() {}' ELSE 'function b() {}' END || chr(10) || 'function a() {}' AS cut, cut || chr(10) || text AS output FROM documents)"""
+
+
 def _avg(side: str, x: str) -> str:
     return f"round(coalesce(avg({x}) FILTER (variant = '{side}'), 0.0), 4)"
 
@@ -107,4 +110,17 @@ SQL = {
     "pj05_doc_samples": r"""WITH d AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: length(x) >= 50 AND NOT starts_with(x, '#') AND NOT starts_with(x, '|') AND len(regexp_extract_all(x, 'http')) < 2) AS ps, '# Title ' || doc_id || ' {#x}' || chr(10) || chr(10) || replace(text, chr(10), chr(10) || chr(10)) AS content FROM documents),
         o AS (SELECT doc_id, trim(left('Topic: Title ' || doc_id || chr(10) || chr(10) || CASE WHEN len(ps) > 0 THEN array_to_string(ps[1:6], chr(10) || chr(10)) ELSE left(content, 6000) END, 6000), ' ' || chr(10)) AS out FROM d)
         SELECT 'docs/a/' || doc_id || '.md' AS source, 'Title ' || doc_id AS topic, 'Explain the following topic: Title ' || doc_id AS instruction, md5(out) AS h FROM o WHERE length(out) >= 120""",
+    "pj12_broken": f"""{CODED} SELECT seq, CASE WHEN seq % 3 = 0 THEN replace(cut, 'strict_types=1', 'strict_types=0') WHEN seq % 5 = 0 THEN replace(cut, 'public function ', 'function ') ELSE cut || '{c.augment.BUG_NOTE}' END AS broken FROM coded""",
+    "pj13_augmented": f"""{CODED}, a AS (SELECT *, 'Symbol: T' || seq || chr(10) || 'Source file: <source_file>' || chr(10) || 'File name hint: F' || seq || '.php' || chr(10) AS head,
+        'Source file: <source_file>' || chr(10) || 'File name hint: F' || seq || '.php' || chr(10) || 'Target symbol: trait T' || seq || chr(10) || 'Namespace: Drupal\\Custom' || chr(10) || 'Requirements:' || chr(10) || '{c.augment.REQUIREMENTS[0]}' || chr(10) || '- Provide a complete trait implementation for T' || seq || '.' || chr(10) || '- Include required imports:' || chr(10) || '  - A' || chr(10) || '- Ensure these methods exist where relevant:' || chr(10) || '  - a()' || chr(10) || CASE WHEN seq % 5 = 0 THEN '  - z()' ELSE '  - b()' END AS spec,
+        CASE WHEN seq % 4 = 3 THEN '{c.augment.PLAN}' ELSE '' END || output AS whole FROM coded), b AS (SELECT *, CASE WHEN ends_with(whole, chr(10)) THEN string_split(whole, chr(10))[:-2] ELSE string_split(whole, chr(10)) END AS ls FROM a)
+        SELECT seq, CASE seq % 4 WHEN 0 THEN 'Fix this broken Drupal 11 trait implementation and return corrected PHP code.' WHEN 1 THEN 'Refactor this Drupal 11 trait for readability and maintainability while preserving behavior.' WHEN 2 THEN '{c.augment.INSTRUCTIONS['write_from_spec']}' ELSE '{c.augment.INSTRUCTIONS['explain_and_implement']}' END AS instruction,
+        md5(CASE seq % 4 WHEN 0 THEN head || 'Broken snippet:' || chr(10) || CASE WHEN seq % 3 = 0 THEN replace(cut, 'strict_types=1', 'strict_types=0') WHEN seq % 5 = 0 THEN replace(cut, 'public function ', 'function ') ELSE cut || '{c.augment.BUG_NOTE}' END WHEN 1 THEN head || 'Current implementation:' || chr(10) || cut ELSE spec END) AS input,
+        md5(CASE WHEN len(ls) > 20 THEN array_to_string(ls[1:20], chr(10)) ELSE whole END) AS output, CASE seq % 4 WHEN 0 THEN 'bugfix' WHEN 1 THEN 'refactor' WHEN 2 THEN 'write_from_spec' ELSE 'explain_and_implement' END AS sample_type FROM b""",
+    "fl20_checks": """WITH d AS (SELECT doc_id, lower(text || CASE WHEN doc_id % 2 = 0 THEN ' Services: logger.factory' ELSE ' x.component.yml' END) AS o, doc_id % 3 AS p FROM documents), e AS (SELECT *, CASE p WHEN 0 THEN [true, contains(o, 'services:'), contains(o, 'logger.factory'), contains(o, '__construct('), contains(o, 'logger')] WHEN 1 THEN [true, contains(o, 'component.yml'), contains(o, 'components/') OR contains(o, '/components'), contains(o, '.twig') OR contains(o, 'template')] ELSE [true] END AS l FROM d)
+        SELECT doc_id, len(list_filter(l, lambda x: x)) AS held, round(len(list_filter(l[1:CASE p WHEN 0 THEN 4 WHEN 1 THEN 3 ELSE 1 END], lambda x: x)) / CASE p WHEN 0 THEN 4.0 WHEN 1 THEN 3.0 ELSE 1.0 END::DOUBLE, 4) AS share FROM e""",
+    "sc12_branches": "SELECT doc_id, lang || CASE WHEN lang = 'en' THEN ',main,1.x,de' WHEN lang = 'de' THEN ',main,en,1.x' ELSE ',main,en,1.x,de' END AS branches FROM documents",
+    "sc19_prefixes": "SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'https://symfony.com/doc/7.0/' ELSE url END AS prefix FROM pages",
+    "ag17_fetches": "SELECT count(*) AS n, count_if(page_id % 5 > 0) AS succeeded, count_if(page_id % 5 = 0) AS failed, CAST(sum(page_id % 3) AS BIGINT) AS pages, count_if(page_id % 5 > 0 AND page_id % 3 > 0) AS valid FROM pages",
+    "st01_sets": f"{W} SELECT seq, 'test' AS part FROM samples WHERE contains(lower(source), '/tests/') UNION ALL SELECT seq, 'repeat' AS part FROM samples WHERE NOT contains(lower(source), '/tests/') AND seq NOT IN (SELECT min(seq) FROM samples GROUP BY instruction, output)",
 }
