@@ -13,8 +13,8 @@ computed exactly. Classes are the connected components of the links.
 Buckets of up to ``SMALL`` nodes are compared in all pairs. A larger one is
 compared with two centres: the node whose bands are the most common, which is
 what a group of copies was made from, and the smallest. Nodes that link with
-neither meet again without those that do, until buckets are small or no two
-nodes are left.
+neither meet again without those that do, among texts of like length and with
+more centres each time, until buckets are small or no two nodes are left.
 
 A missed link needs a pair at 0.8 that shares no band: about 7 in 100,000.
 Null texts, and texts without words other than equal ones, are in no class but
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import dropped, heavy_lookup, map_texts, stored, table
 
-SHINGLE, BANDS, ROWS, THRESHOLD, SMALL, PIECE = 5, 25, 5, 0.8, 8, 3_000_000
+SHINGLE, BANDS, ROWS, THRESHOLD, SMALL, PIECE = 5, 25, 5, 0.8, 16, 3_000_000
 REGISTERS = BANDS * ROWS
 _P = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
@@ -108,7 +108,8 @@ def signatures(d: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int, registe
     return who.reshape(n, registers)
 
 
-def bands_of(texts: list[str | None]) -> list[list[int] | None]:
+def bands_of(texts: list[str | None]) -> tuple[list[list[int] | None], list[int]]:
+    """Band values, null without words, and the number of shingles of each text."""
     d, h, count = shingles(texts)
     sig = signatures(d, h, 1 + np.log(count), len(texts))
     x = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(texts), 1))
@@ -116,9 +117,8 @@ def bands_of(texts: list[str | None]) -> list[list[int] | None]:
     for k in range(ROWS):
         x = mix(x * _P + parts[:, :, k])
     rows = x.view(np.int64).tolist()
-    has = np.zeros(len(texts), bool)
-    has[d] = True
-    return [row if ok else None for row, ok in zip(rows, has.tolist(), strict=True)]
+    size = np.bincount(d, minlength=len(texts)).tolist()
+    return [row if n else None for row, n in zip(rows, size, strict=True)], size
 
 
 def node() -> F.Column:
@@ -142,41 +142,53 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return map_texts(one, make, {"shingles": "array<long>"}, PIECE)
 
 
+def alike(a: str, b: str, threshold: float) -> str:
+    """Can sets of a and b shingles be so similar?"""
+    return f"least({a}, {b}) >= {threshold} * greatest({a}, {b}) - 1e-9"
+
+
 def links(docs: DataFrame, keys: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Verified pairs (a, b). keys: node, first_id, n and bands of each distinct text."""
+    """Verified pairs (a, b). keys: node, first_id, n, bands and size (its shingles) of each distinct text."""
     spark = docs.sparkSession
-    member = keys.where("bands is not null").select("node", "first_id", F.posexplode("bands").alias("band", "value"))
+    member = keys.where("bands is not null").select("node", "first_id", F.col("size").alias("k"), F.posexplode("bands").alias("band", "value"))
     sizes = member.groupBy("band", "value").agg(F.count("*").alias("size")).where("size > 1")
     shared, shared_path = stored(member.join(sizes, ["band", "value"]), "buckets")
     # How common a node's bands are: high in the middle of a group.
     popular = shared.groupBy("node").agg(F.sum("size").alias("common"), F.first("first_id").alias("first_id"))
     sets, sets_path = stored(shingle_sets(docs, popular.select("node", "first_id")), "shingles")
-    open_, paths, found = shared.join(popular.select("node", "common"), "node").select("band", "value", "node", "size", "common"), [shared_path], []
+    bucket = ["band", "value"]
+    open_, paths, found, extra = shared.join(popular.select("node", "common"), "node").select(*bucket, "node", "k", "size", "common"), [shared_path], [], 0
     while True:
         open_, path = stored(open_, "open")
         paths.append(path)
         if not open_.limit(1).count():
             break
-        bucket = ["band", "value"]
-        small = open_.where(F.col("size") <= SMALL).groupBy(*bucket).agg(F.sort_array(F.collect_list("node")).alias("nodes"))
-        pairs = small.select(F.explode(F.expr("flatten(transform(nodes, (x, i) -> transform(slice(nodes, i + 2, size(nodes)), y -> struct(x as a, y as b))))")).alias("p")).select("p.a", "p.b")
+        small = open_.where(F.col("size") <= SMALL).groupBy(*bucket).agg(F.sort_array(F.collect_list(F.struct("node", "k"))).alias("nodes"))
+        every = f"flatten(transform(nodes, (x, i) -> transform(filter(slice(nodes, i + 2, size(nodes)), y -> {alike('x.k', 'y.k', threshold)}), y -> struct(x.node as a, y.node as b))))"
+        pairs = small.select(F.explode(F.expr(every)).alias("p")).select("p.a", "p.b")
         large = open_.where(F.col("size") > SMALL)
-        centres = large.groupBy(*bucket).agg(F.max_by("node", F.struct("common", "node")).alias("c"), F.min("node").alias("m"))
-        met = large.join(centres, bucket).select(*bucket, "node", "common", F.explode(F.array("c", "m")).alias("centre"))
-        pairs = pairs.unionByName(met.where("node != centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")))
-        checked = verified(pairs.distinct(), sets, threshold)
-        new, path = stored(checked, "links")
+        best = large.groupBy(*bucket).agg(F.max_by(F.struct("node", "k"), F.struct("common", "node")).alias("c"), F.min(F.struct("node", "k")).alias("m")).select(*bucket, F.explode(F.array("c", "m")).alias("c"))
+        # Those left over are unlike the centres so far: later rounds take more of them, twice as many each time.
+        more = large.where(F.pmod(F.xxhash64("node", *bucket), F.greatest(F.lit(1), F.floor(F.col("size") / extra))) == 0).select(*bucket, F.struct("node", "k").alias("c")) if extra else best.limit(0)
+        met = large.join(best.unionByName(more).distinct(), bucket).select(*bucket, "node", "k", "common", F.col("c.node").alias("centre"), F.col("c.k").alias("ck"))
+        pairs = pairs.unionByName(met.where(f"node != centre and {alike('k', 'ck', threshold)}").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")))
+        new, path = stored(verified(pairs.distinct(), sets, threshold), "links")
         found.append(new)
-        # Those of large buckets that link with neither centre meet again.
+        # Those of large buckets that link with no centre meet again.
         linked = new.select(F.col("a").alias("node"), F.col("b").alias("centre")).unionByName(new.select(F.col("b").alias("node"), F.col("a").alias("centre")))
-        state = met.join(linked.withColumn("hit", F.lit(True)), ["node", "centre"], "left").groupBy(*bucket, "node").agg(F.max(F.coalesce("hit", F.lit(False)) | (F.col("node") == F.col("centre"))).alias("done"), F.first("common").alias("common"))
+        state = met.join(linked.withColumn("hit", F.lit(True)), ["node", "centre"], "left").groupBy(*bucket, "node").agg(F.max(F.coalesce("hit", F.lit(False)) | (F.col("node") == F.col("centre"))).alias("done"), F.first("common").alias("common"), F.first("k").alias("k"))
         rest = state.where("not done").drop("done")
+        if not extra:
+            # From now on buckets hold texts of like length: two that can be similar are in one class or in neighbours.
+            cls = F.floor(F.log("k") / -F.log(F.lit(threshold)) + 1e-9).cast("int")
+            rest, bucket = rest.withColumn("cls", F.explode(F.array(cls, cls + 1))), [*bucket, "cls"]
+        extra = max(4, 2 * extra)
         again = rest.groupBy(*bucket).agg(F.count("*").alias("size")).where("size > 1")
-        open_ = rest.join(again, bucket).select("band", "value", "node", "size", "common")
-    every = found[0] if found else shared.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+        open_ = rest.join(again, bucket).select(*bucket, "node", "k", "size", "common")
+    every_link = found[0] if found else shared.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     for f in found[1:]:
-        every = every.unionByName(f)
-    out, _ = stored(every.distinct(), "links")
+        every_link = every_link.unionByName(f)
+    out, _ = stored(every_link.distinct(), "links")
     dropped(spark, *paths, sets_path)
     return out
 
@@ -217,8 +229,8 @@ def components(edges: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, node (of the text), class_id, class_size and n_links of every row."""
     hashed = docs.select("doc_id", node().alias("node"), "text")
-    rows, _ = stored(map_texts(hashed, lambda: lambda texts: [bands_of(texts)], {"bands": "array<long>"}, PIECE), "bands")
-    keys, keys_path = stored(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"), F.first("bands").alias("bands")), "texts")
+    rows, _ = stored(map_texts(hashed, lambda: bands_of, {"bands": "array<long>", "size": "int"}, PIECE), "bands")
+    keys, keys_path = stored(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("size").alias("size")), "texts")
     pairs = links(docs, keys, threshold)
     labels = components(pairs)
     degree = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
@@ -232,13 +244,13 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs with one row of each class: that of the smallest id. Null texts all stay."""
-    keep = classes(docs.select("doc_id", "text"), threshold).where("keeper and node is not null").groupBy("node").agg(F.min("doc_id").alias("_id"))
+    least = F.coalesce("doc_id", F.lit(2**63 - 1))
+    keep = classes(docs.select("doc_id", "text"), threshold).where("keeper and node is not null").groupBy(F.col("node").alias("_node")).agg(F.min(least).alias("_id"))
     columns = [f"`{c}`" for c in docs.columns]
-    whole = docs.withColumn("_node", node())
-    there = whole.where("_node is not null")
-    # Copies drop out before the sort: only rows of the smallest id are left, and of equal ones the first.
-    left = there.join(keep.withColumnRenamed("node", "_node"), "_node").where(F.col("doc_id").eqNullSafe(F.col("_id")))
-    first = left.withColumn("_rn", F.row_number().over(Window.partitionBy("_node").orderBy("doc_id"))).where("_rn = 1")
+    whole = docs.withColumns({"_node": node(), "_id": least})
+    # By text and id: copies of one text go to many tasks, and only rows of the smallest id are left. Of equal rows the first stays.
+    left = whole.where("_node is not null").join(keep, ["_node", "_id"], "left_semi")
+    first = left.withColumn("_rn", F.row_number().over(Window.partitionBy("_node", "_id").orderBy("doc_id"))).where("_rn = 1")
     return first.select(*columns).unionByName(whole.where("_node is null").select(*columns))
 
 
