@@ -179,9 +179,20 @@ def model_triples(texts: list, ids: dict[bytes, int]) -> np.ndarray:
 
 
 def corpus_statistics(counts: DataFrame, documents: int) -> Statistics:
-    words, total = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    head = counts.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).collect()
-    return Statistics([(bytes(r["word"]), r["n"]) for r in head], words, total, documents)
+    """The head is every word of at least some count: the least one, in steps of 2 in 100, that no more than HEAD_WORDS words reach.
+
+    It is found from the words in each step, so that the driver gets the head and no more.
+    """
+    step = F.floor(F.log("n") * 50).cast("int")
+    steps = counts.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.sum("n").alias("n")).orderBy(F.desc("step")).collect()
+    taken, least = 0, None
+    for r in steps:
+        taken += r["words"]
+        if taken > HEAD_WORDS:
+            break
+        least = r["step"]
+    head = [] if least is None else counts.where(step >= least).collect()
+    return Statistics(sorted(((bytes(r["word"]), r["n"]) for r in head), key=lambda x: (-x[1], x[0])), sum(r["words"] for r in steps), sum(r["n"] for r in steps), documents)
 
 
 SCORED = {"n_tokens": "long", "n_known": "long", "base": "double", "model": "double", "tail": "array<string>", "tail_n": "array<long>"}
