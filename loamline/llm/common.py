@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -58,8 +59,10 @@ def dropped(spark: SparkSession, *paths: str) -> None:
 
 def released(spark: SparkSession) -> None:
     """Lets Spark drop shuffle files of finished steps, which it does once their plans are garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def heavy_lookup(rows: DataFrame, facts: DataFrame, key: str, weight: str, share: int = 2000) -> DataFrame:

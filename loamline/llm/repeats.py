@@ -93,7 +93,9 @@ def segments(raw: list[bytes], length: int = LENGTH, anchor: int = ANCHOR) -> tu
     return d, a - offsets[d], z - a, least[a], content
 
 
-ENTRY = np.dtype([("h", "<u8"), ("s", "<u8"), ("doc", "<i8"), ("key", "<i8"), ("at", "<i4"), ("size", "<i4")])
+#: h is the anchor's hash but for the bits that choose its part. Anchors whose 32 bits are equal only meet once more
+#: than needed: contents are told apart by s.
+ENTRY = np.dtype([("h", "<u4"), ("s", "<u8"), ("doc", "<i8"), ("key", "<i4"), ("at", "<i4"), ("size", "<i4")])
 
 
 def packed(e: np.ndarray) -> bytes:
@@ -120,11 +122,11 @@ def smallest(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return e, np.repeat(e["doc"][at], np.diff(np.append(at, len(e))))
 
 
-RUNS = "kind int, doc long, key long, at int, size int, h long"
+RUNS = "kind int, doc long, key int, at int, size int, h long"
 
 
 def run_rows(kind: int, e: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(e), kind, np.int32)), pa.array(e["doc"]), pa.array(e["key"]), pa.array(e["at"]), pa.array(e["size"]), pa.array(e["h"].view(np.int64))], names=["kind", "doc", "key", "at", "size", "h"])
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(e), kind, np.int32)), pa.array(e["doc"]), pa.array(e["key"]), pa.array(e["at"]), pa.array(e["size"]), pa.array(e["h"].astype(np.int64) if kind else np.zeros(len(e), np.int64))], names=["kind", "doc", "key", "at", "size", "h"])
 
 
 def gone_and_open(docs: DataFrame, parts: int) -> DataFrame:
@@ -147,7 +149,7 @@ def gone_and_open(docs: DataFrame, parts: int) -> DataFrame:
             d, at, n, h, s = segments(raw)
             e = np.empty(len(d), ENTRY)
             ids, keys = (np.array(b.column(c).to_pylist(), np.int64) for c in (0, 1))
-            e["h"], e["s"], e["doc"], e["key"], e["at"], e["size"] = h, s, ids[d], keys[d], at, n
+            e["h"], e["s"], e["doc"], e["key"], e["at"], e["size"] = h & np.uint64(0xFFFFFFFF), s, ids[d], keys[d], at, n
             held.append(e)
             size += len(e)
             if size > 1_500_000:
@@ -192,7 +194,7 @@ def cut(e: np.ndarray, n: int = 200_000) -> Iterator[np.ndarray]:
 
 
 def by_part(e: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
-    p = (mix(e["h"]) % np.uint64(parts)).astype(np.int64)
+    p = (mix(e["h"].astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
     order = np.lexsort((e["at"], e["key"], e["doc"], p))
     e, p = e[order], p[order]
     at = np.searchsorted(p, np.arange(parts + 1))
@@ -278,7 +280,7 @@ def beside(raw: bytes, h: int, length: int = LENGTH, anchor: int = ANCHOR) -> It
     buf = np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(buf * up[: len(raw)])])
     grams = mix((sums[anchor:] - sums[:-anchor]) * down[: len(raw) - anchor + 1])
-    at = np.nonzero(grams.view(np.int64) == h)[0]
+    at = np.nonzero(grams & np.uint64(0xFFFFFFFF) == np.uint64(h))[0]
     starts, half = np.arange(len(raw) - length + 1), (length - anchor) // 2
     place = at[np.searchsorted(at, starts)]
     left = place - starts >= half
@@ -305,7 +307,7 @@ def compared(docs: DataFrame, open_: DataFrame, parts: int) -> DataFrame:
                     rows += [(doc, key, f["h"], f["at"], part)] if f["kind"] == 1 else [(doc, key, k, f["at"] + a, x) for k, a, x in beside(part, f["h"])]
             for k in range(0, len(rows), 100_000):
                 cols = list(zip(*rows[k : k + 100_000], strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["doc", "key", "h", "at", "bytes"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["doc", "key", "h", "at", "bytes"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come in order of h; a chunk holds whole anchors."""
@@ -314,9 +316,9 @@ def compared(docs: DataFrame, open_: DataFrame, parts: int) -> DataFrame:
 
         def out() -> pa.RecordBatch:
             doc = np.array([r[0] for r in held], np.int64)
-            rows = [(0, r[0], r[1], r[3] + a, z - a, r[2]) for r, runs in zip(held, repeated([r[4] for r in held], doc), strict=True) for a, z in runs]
+            rows = [(0, r[0], r[1], r[3] + a, z - a, 0) for r, runs in zip(held, repeated([r[4] for r in held], doc), strict=True) for a, z in runs]
             cols = list(zip(*rows, strict=True)) if rows else [()] * 6
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()), strict=True)], names=["kind", "doc", "key", "at", "size", "h"])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()), strict=True)], names=["kind", "doc", "key", "at", "size", "h"])
 
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -328,7 +330,7 @@ def compared(docs: DataFrame, open_: DataFrame, parts: int) -> DataFrame:
         if held:
             yield out()
 
-    pieces_ = docs.join(lists, ["doc", "key"]).select("doc", "key", "found", "text").mapInArrow(fetch, "doc long, key long, h long, at int, bytes binary")
+    pieces_ = docs.join(lists, ["doc", "key"]).select("doc", "key", "found", "text").mapInArrow(fetch, "doc long, key int, h long, at int, bytes binary")
     return pieces_.repartition(parts, "h").sortWithinPartitions("h", "doc", "at").mapInArrow(search, RUNS)
 
 
@@ -336,16 +338,16 @@ def without_repeats(docs: DataFrame, clean: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row; and, if clean, kept (binary)."""
     spark = docs.sparkSession
     node = F.sha1(F.coalesce(F.col("text").cast("binary"), F.lit(b"")))
-    keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.conv(F.substring(node, 1, 15), 16, 10).cast("long").alias("key"), "text")
+    keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.conv(F.substring(node, 1, 15), 16, 10).cast("long").alias("same"), F.conv(F.substring(node, 16, 7), 16, 10).cast("int").alias("key"), "text")
     total = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
-    copies, _ = stored(keyed.groupBy("key").agg(F.min("doc").alias("least"), F.count("*").alias("n")).where("n > 1"), "copies")
-    runs, _ = stored(gone_and_open(keyed, parts), "runs")
+    copies, _ = stored(keyed.groupBy("same").agg(F.min("doc").alias("least"), F.count("*").alias("n")).where("n > 1"), "copies")
+    runs, _ = stored(gone_and_open(keyed.select("doc", "key", "text"), parts), "runs")
     released(spark)
     more, _ = stored(compared(keyed.select("doc", "key", "text"), runs.where("kind > 0"), parts), "more-runs")
     released(spark)
     every = runs.where("kind = 0").unionByName(more).groupBy("doc", "key").agg(F.collect_list(F.struct("at", "size")).alias("runs"))
-    marked = heavy_lookup(keyed, copies, "key", "n").withColumn("copy", F.coalesce(F.col("doc") > F.col("least"), F.lit(False)))
+    marked = heavy_lookup(keyed, copies, "same", "n").withColumn("copy", F.coalesce(F.col("doc") > F.col("least"), F.lit(False)))
     work = marked.where("not copy").select("doc_id", "doc", "key", "text").join(every, ["doc", "key"], "left").select("doc_id", "runs", "text")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
