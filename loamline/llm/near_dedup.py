@@ -16,6 +16,12 @@ what a group of copies was made from, and the smallest. Nodes that link with
 neither meet again without those that do, among texts of like length and with
 more centres each time, until buckets are small or no two nodes are left.
 
+A node that left with a centre c still meets those that did not link with c, of
+that round and of groups of other centres: 1 - Jaccard is a metric, so a text at
+0.8 to a member of c's group is at 0.6 to c at least. All such pairs whose ends
+are in two components so far are compared. Hence every pair of a bucket at 0.8 is
+in one class.
+
 A missed link needs a pair at 0.8 that shares no band: about 7 in 100,000.
 Null texts, and texts without words other than equal ones, are in no class but
 their own. A class is named by its smallest id (null if it has none). Repeated
@@ -158,6 +164,7 @@ def links(docs: DataFrame, keys: DataFrame, threshold: float = THRESHOLD) -> Dat
     sets, sets_path = stored(shingle_sets(docs, popular.select("node", "first_id")), "shingles")
     bucket = ["band", "value"]
     open_, paths, found, extra = shared.join(popular.select("node", "common"), "node").select(*bucket, "node", "k", "size", "common"), [shared_path], [], 0
+    fringe, near = 2 * threshold - 1, []
     while True:
         open_, path = stored(open_, "open")
         paths.append(path)
@@ -171,9 +178,15 @@ def links(docs: DataFrame, keys: DataFrame, threshold: float = THRESHOLD) -> Dat
         # Those left over are unlike the centres so far: later rounds take more of them, twice as many each time.
         more = large.where(F.pmod(F.xxhash64("node", *bucket), F.greatest(F.lit(1), F.floor(F.col("size") / extra))) == 0).select(*bucket, F.struct("node", "k").alias("c")) if extra else best.limit(0)
         met = large.join(best.unionByName(more).distinct(), bucket).select(*bucket, "node", "k", "common", F.col("c.node").alias("centre"), F.col("c.k").alias("ck"))
-        pairs = pairs.unionByName(met.where(f"node != centre and {alike('k', 'ck', threshold)}").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")))
-        new, path = stored(verified(pairs.distinct(), sets, threshold), "links")
+        pairs = pairs.unionByName(met.where(f"node != centre and {alike('k', 'ck', fringe)}").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")))
+        judged, path = stored(compared(pairs.distinct(), sets, fringe), "links")
+        paths.append(path)
+        new = judged.where(is_link(threshold)).select("a", "b")
         found.append(new)
+        either = judged.select(F.col("a").alias("node"), F.col("b").alias("centre"), "na", "nb", "common").unionByName(judged.select(F.col("b").alias("node"), F.col("a").alias("centre"), "na", "nb", "common"))
+        round_, path = stored(met.select("node", "k", "centre").distinct().join(either, ["node", "centre"]).select("node", "k", "centre", is_link(threshold).alias("link"), far().alias("d")), "near-centres")
+        paths.append(path)
+        near.append(round_)
         # Those of large buckets that link with no centre meet again.
         linked = new.select(F.col("a").alias("node"), F.col("b").alias("centre")).unionByName(new.select(F.col("b").alias("node"), F.col("a").alias("centre")))
         state = met.join(linked.withColumn("hit", F.lit(True)), ["node", "centre"], "left").groupBy(*bucket, "node").agg(F.max(F.coalesce("hit", F.lit(False)) | (F.col("node") == F.col("centre"))).alias("done"), F.first("common").alias("common"), F.first("k").alias("k"))
@@ -188,16 +201,52 @@ def links(docs: DataFrame, keys: DataFrame, threshold: float = THRESHOLD) -> Dat
     every_link = found[0] if found else shared.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     for f in found[1:]:
         every_link = every_link.unionByName(f)
-    out, _ = stored(every_link.distinct(), "links")
+    every_link, path = stored(every_link.distinct(), "links")
+    if near:
+        paths.append(path)
+        across, path = stored(left_apart(near, every_link, threshold), "across")
+        paths.append(path)
+        every_link, _ = stored(every_link.unionByName(verified(across, sets, threshold)).distinct(), "links")
+    out = every_link
     dropped(spark, *paths, sets_path)
     return out
 
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+def left_apart(near: list[DataFrame], links: DataFrame, threshold: float, salts: int = 32) -> DataFrame:
+    """Pairs of a member of a centre's group and a node that is near the centre but in another component, that can be similar.
+
+    near: node, k, centre, whether they link, and d, 1 less their similarity.
+    """
+    every = near[0]
+    for x in near[1:]:
+        every = every.unionByName(x)
+    every = every.distinct()
+    labels = components(links)
+    named = lambda df, node, label: df.join(labels.select(F.col("node").alias(node), F.col("label").alias(label)), node, "left").withColumn(label, F.coalesce(label, node))
+    outside = named(named(every.where("not link"), "node", "mine"), "centre", "other").where("mine != other").select("centre", F.col("node").alias("b"), F.col("k").alias("kb"), F.col("d").alias("db"))
+    member = every.where("link").select("centre", F.col("node").alias("a"), F.col("k").alias("ka"), F.col("d").alias("da"), F.pmod(F.xxhash64("node"), F.lit(salts)).alias("salt"))
+    outside = outside.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    pairs = member.join(outside, ["centre", "salt"]).where(f"db - da <= {1 - threshold} + 1e-9 and {alike('ka', 'kb', threshold)}")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def is_link(threshold: float) -> F.Column:
+    return F.col("common") >= F.lit(threshold) * (F.col("na") + F.col("nb") - F.col("common")) - 1e-9
+
+
+def far() -> F.Column:
+    return 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
+
+
+def compared(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(one, "a").join(two, "b").select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("common"))
-    return both.where(F.col("common") >= F.lit(threshold) * (F.col("na") + F.col("nb") - F.col("common")) - 1e-9).select("a", "b")
+    return both.where(is_link(threshold))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    return compared(pairs, sets, threshold).select("a", "b")
 
 
 def components(edges: DataFrame) -> DataFrame:

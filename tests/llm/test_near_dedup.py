@@ -70,3 +70,24 @@ def test_registers_agree_with_probability_jaccard():
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert nd.classes(docs).count() == 0 and nd.one_of_each(docs).count() == 0
+
+
+def test_chains_and_unlike_centres_in_one_bucket(spark):
+    """All nodes are in one bucket, so no other band can make up for a pair that is not compared."""
+    r = random.Random(4)
+    texts = []
+    for chain, n in enumerate((40, 25, 12)):
+        words = [f"c{chain}w{i}" for i in range(400)]
+        texts += [" ".join(words[i * 8 : i * 8 + 104]) for i in range(n)]  # neighbours are at 92 / 108, others below 0.8
+    r.shuffle(texts)
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    size = {i: len(sets(t)) for i, t in rows}
+    of = spark.createDataFrame(list(size.items()), "doc_id long, size int")
+    keys = docs.join(of, "doc_id").selectExpr("unhex(sha1(cast(text as binary))) AS node", "doc_id AS first_id", "1L AS n", "array(1L) AS bands", "size").localCheckpoint()
+    links = nd.links(docs, keys).localCheckpoint()
+    labels = keys.select("node", "first_id").join(nd.components(links), "node", "left").selectExpr("first_id", "hex(coalesce(label, node)) AS label").collect()
+    groups = {}
+    for x in labels:
+        groups.setdefault(x["label"], []).append(x["first_id"])
+    assert sorted((d, min(g)) for g in groups.values() for d in g) == brute(rows)
