@@ -6,7 +6,9 @@ shingles weigh 1 + ln(times). Each sends Poisson arrivals at the rate of its
 weight to random registers of the signature and stops once it is later than
 every register; a register keeps the shingle that came first, so registers of
 two texts agree with the probability Jaccard of the weighted sets. Bands of five
-registers give buckets. Nodes in a bucket are candidates, and a candidate pair
+registers give buckets. As links are defined on sets without weights, a text with
+repeated shingles has the bands of weight 1 beside the weighted ones; without
+repeats the two are the same. Nodes in a bucket are candidates, and a candidate pair
 is a link if the Jaccard similarity of the two shingle sets is at least 0.8,
 computed exactly. Classes are the connected components of the links.
 
@@ -22,7 +24,8 @@ that round and of groups of other centres: 1 - Jaccard is a metric, so a text at
 are in two components so far are compared. Hence every pair of a bucket at 0.8 is
 in one class.
 
-A missed link needs a pair at 0.8 that shares no band: about 7 in 100,000.
+A missed link needs a pair at 0.8 that shares no band: about 7 in 100,000 by the
+bands of weight 1 alone, whatever is repeated.
 Null texts, and texts without words other than equal ones, are in no class but
 their own. A class is named by its smallest id (null if it has none). Repeated
 rows are in one class, each with a row of the result.
@@ -115,16 +118,30 @@ def signatures(d: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int, registe
 
 
 def bands_of(texts: list[str | None]) -> tuple[list[list[int] | None], list[int]]:
-    """Band values, null without words, and the number of shingles of each text."""
+    """Band values, null without words, and the number of shingles of each text.
+
+    Values of weight 1 follow the weighted ones; those equal to them are null, or left out if all are.
+    """
     d, h, count = shingles(texts)
-    sig = signatures(d, h, 1 + np.log(count), len(texts))
-    x = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(texts), 1))
-    parts = sig.reshape(len(texts), BANDS, ROWS)
+    size = np.bincount(d, minlength=len(texts))
+    rows = band_values(signatures(d, h, 1 + np.log(count), len(texts)))
+    out = [row if n else None for row, n in zip(rows.view(np.int64).tolist(), size, strict=True)]
+    again = np.unique(d[count > 1])
+    if len(again):
+        mine = np.isin(d, again)
+        plain = band_values(signatures(np.searchsorted(again, d[mine]), h[mine], np.ones(int(mine.sum())), len(again)))
+        for i, row, same in zip(again.tolist(), plain.view(np.int64).tolist(), (plain == rows[again]).tolist(), strict=True):
+            if not all(same):
+                out[i] += [None if s else v for v, s in zip(row, same, strict=True)]
+    return out, size.tolist()
+
+
+def band_values(sig: np.ndarray) -> np.ndarray:
+    x = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(sig), 1))
+    parts = sig.reshape(len(sig), BANDS, ROWS)
     for k in range(ROWS):
         x = mix(x * _P + parts[:, :, k])
-    rows = x.view(np.int64).tolist()
-    size = np.bincount(d, minlength=len(texts)).tolist()
-    return [row if n else None for row, n in zip(rows, size, strict=True)], size
+    return x
 
 
 def node() -> F.Column:
@@ -156,7 +173,7 @@ def alike(a: str, b: str, threshold: float) -> str:
 def links(docs: DataFrame, keys: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Verified pairs (a, b). keys: node, first_id, n, bands and size (its shingles) of each distinct text."""
     spark = docs.sparkSession
-    member = keys.where("bands is not null").select("node", "first_id", F.col("size").alias("k"), F.posexplode("bands").alias("band", "value"))
+    member = keys.where("bands is not null").select("node", "first_id", F.col("size").alias("k"), F.posexplode("bands").alias("band", "value")).where("value is not null").withColumn("band", F.col("band") % BANDS)
     sizes = member.groupBy("band", "value").agg(F.count("*").alias("size")).where("size > 1")
     shared, shared_path = stored(member.join(sizes, ["band", "value"]), "buckets")
     # How common a node's bands are: high in the middle of a group.

@@ -91,3 +91,20 @@ def test_chains_and_unlike_centres_in_one_bucket(spark):
     for x in labels:
         groups.setdefault(x["label"], []).append(x["first_id"])
     assert sorted((d, min(g)) for g in groups.values() for d in g) == brute(rows)
+
+
+def test_texts_that_repeat_passages_share_bands_with_copies_that_do_not():
+    r = random.Random(6)
+    for times, changed in ((1000, 0), (20, 3)):
+        missed = 0
+        for _ in range(60):
+            w = [f"w{r.randrange(10**9)}" for _ in range(300)]
+            passage, rest = w[:60], w[60:]
+            other = list(rest)
+            for k in range(changed):
+                other[20 + 60 * k] = "changed"
+            a, b = " ".join(passage * times + rest), " ".join(passage * 2 + other)
+            assert len(sets(a) & sets(b)) >= 0.8 * len(sets(a) | sets(b))
+            one, two = ({(i % nd.BANDS, v) for i, v in enumerate(bands) if v is not None} for bands in nd.bands_of([a, b])[0])
+            missed += not one & two
+        assert missed == 0
