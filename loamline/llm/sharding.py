@@ -6,11 +6,11 @@ bytes and rows of every cell of the key range that still holds a splitter are
 counted across all partitions, and the cell that holds the target is probed
 more finely, first by the bits of the hash, then, within one text's copies, by
 the range of their ids. A splitter is settled when its cell holds no more bytes
-than the tolerance, or one key. Then rows are exchanged once, by the interval
-they fall in, and numbered.
+than the tolerance, or one key. Then whole rows, texts and all, are exchanged once,
+by the interval they fall in, and numbered; their digests are taken after that.
 
 The order is cut into more intervals than shards, so that no task sorts more
-than about ``rows_per_task`` rows; a shard is a run of intervals, and counts of
+than about ``rows_per_task`` rows or ``BYTES_PER_TASK`` bytes; a shard is a run of intervals, and counts of
 the intervals give where each one's slots begin. The driver sees counts of
 cells only: at most 16 for each splitter in a round.
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import literal_table, stored, table
 
-SHARDS, ROWS_PER_TASK, TOLERANCE = 24, 1_000_000, 0.0005
+SHARDS, ROWS_PER_TASK, BYTES_PER_TASK, TOLERANCE = 24, 1_000_000, 256_000_000, 0.0005
 FIRST_BITS, MORE_BITS = 12, 4
 LEAST = -(2**63)
 
@@ -43,11 +43,12 @@ class Target:
     key: tuple[int, int] | None = None
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"), F.crc32(F.coalesce(F.col("text").cast("binary"), F.lit(b""))).alias("text_crc32"),
-        F.when(F.col("text").isNull(), F.lit(LEAST)).otherwise(F.xxhash64("text")).alias("_h"), F.coalesce("doc_id", F.lit(LEAST)).alias("_d"),
-    )
+def size_of(text: str) -> F.Column:
+    return (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("long")
+
+
+def keyed() -> dict[str, F.Column]:
+    return {"_h": F.when(F.col("text").isNull(), F.lit(LEAST)).otherwise(F.xxhash64("text")), "_d": F.coalesce("doc_id", F.lit(LEAST))}
 
 
 def splitters(keys: DataFrame, intervals: int, tolerance: float) -> list[tuple[int, int]]:
@@ -129,23 +130,26 @@ def interval_of(found: list[tuple[int, int]]) -> F.Column:
 
 
 def shards(docs: DataFrame, n: int = SHARDS, tolerance: float = TOLERANCE, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot and grown_shard of every row."""
-    keys, _ = stored(sized(docs), "shard-keys")
-    runs = max(1, -(-keys.count() // (n * rows_per_task)))
+    """Every row whole (``row``) in its shard and slot, with doc_id, size, text_crc32, law and grown_shard."""
+    keys, _ = stored(docs.select(size_of("text").alias("size"), *(c.alias(name) for name, c in keyed().items())), "shard-keys")
+    count, total = keys.agg(F.count("*"), F.sum("size")).first()
+    runs = max(1, -(-count // (n * rows_per_task)), -(-(total or 0) // (n * BYTES_PER_TASK)))
     found = splitters(keys, n * runs, tolerance)
-    dealt = keys.withColumn("_i", interval_of(found))
-    rows = dict(dealt.groupBy("_i").count().collect())
+    rows = dict(keys.groupBy(interval_of(found)).count().collect())
     offsets, at = [], 0
     for i in range(n * runs):
         at = 0 if i % runs == 0 else at
         offsets.append(at)
         at += rows.get(i, 0)
-    order = Window.partitionBy("_i").orderBy("_h", "_d", "size", "text_crc32")
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *(c.alias(name) for name, c in keyed().items()))
+    dealt = whole.withColumn("_i", interval_of(found))
+    order = Window.partitionBy("_i").orderBy("_h", "_d", "row.text")
     first = F.element_at(F.array(*(F.lit(x).cast("long") for x in offsets)), F.col("_i") + 1)
     return dealt.withColumn("slot", first + F.row_number().over(order) - 1).select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.floor(F.col("_i") / runs).cast("int").alias("shard"), F.col("slot").cast("long"), F.lit(None).cast("int").alias("grown_shard")
+        "row", F.col("row.doc_id").alias("doc_id"), size_of("row.text").alias("size"), F.crc32(F.coalesce(F.col("row.text").cast("binary"), F.lit(b""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"), F.floor(F.col("_i") / runs).cast("int").alias("shard"), F.col("slot").cast("long"), F.lit(None).cast("int").alias("grown_shard"),
     )
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shards(table(spark, sf_dir, "documents"))
+    return shards(table(spark, sf_dir, "documents")).drop("row")

@@ -41,3 +41,13 @@ def test_empty_and_tiny(spark):
     assert s.shards(docs).count() == 0
     got = s.shards(spark.createDataFrame([(1, "a")], "doc_id long, text string")).collect()
     assert len(got) == 1 and got[0]["slot"] == 0 and 0 <= got[0]["shard"] < 24 and got[0]["law"] == "bytes"
+
+
+def test_rows_arrive_whole_in_their_shards(spark):
+    rows = [(None if i % 5 == 0 else i % 7, None if i % 11 == 0 else f"text {i % 40} " * (i % 9), f"c{i}") for i in range(300)]
+    got = s.shards(spark.createDataFrame(rows, "doc_id long, text string, slot string"), 4).collect()
+    assert sorted(map(str, (tuple(r["row"]) for r in got))) == sorted(map(str, rows))
+    for r in got:
+        text = (r["row"]["text"] or "").encode()
+        assert (r["doc_id"], r["size"], r["text_crc32"]) == (r["row"]["doc_id"], len(text) + 8, zlib.crc32(text))
+    whole(got, [r[1] for r in rows], 4, 1000)
