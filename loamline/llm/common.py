@@ -46,6 +46,9 @@ def stored(df: DataFrame, what: str) -> tuple[DataFrame, str]:
     spark, path = df.sparkSession, new_path(df.sparkSession, what)
     schema = df.schema
     df.write.parquet(path)
+    # What a result still reads can't go before the session ends.
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
     return spark.read.schema(schema).parquet(path), path
 
 
@@ -78,8 +81,9 @@ def heavy_lookup(rows: DataFrame, facts: DataFrame, key: str, weight: str, share
     light = facts.where(F.col(weight) <= limit)
     out = [c for c in facts.columns if c != key]
     first = rows.join(heavy, key, "left")
-    there = first.where("_heavy").drop("_heavy")
-    rest = first.where("_heavy is null").drop("_heavy", *out).join(light, key, "left")
+    # Null keys have no facts: they would all go to one task.
+    there = first.where(F.col("_heavy") | F.col(key).isNull()).drop("_heavy")
+    rest = first.where(F.col("_heavy").isNull() & F.col(key).isNotNull()).drop("_heavy", *out).join(light, key, "left")
     return there.unionByName(rest)
 
 

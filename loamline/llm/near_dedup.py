@@ -12,34 +12,48 @@ repeats the two are the same. Nodes in a bucket are candidates, and a candidate
 is a link if the Jaccard similarity of the two shingle sets is at least 0.8,
 computed exactly. Classes are the connected components of the links.
 
-Buckets of up to ``SMALL`` nodes are compared in all pairs. A larger one is
-compared with two centres: the node whose bands are the most common, which is
-what a group of copies was made from, and the smallest. Nodes that link with
-neither meet again without those that do, among texts of like length and with
-more centres each time, until buckets are small or no two nodes are left.
-
-A node that left with a centre c still meets those that did not link with c, of
-that round and of groups of other centres: 1 - Jaccard is a metric, so a text at
-0.8 to a member of c's group is at 0.6 to c at least. All such pairs whose ends
-are in two components so far are compared. Hence every pair of a bucket at 0.8 is
-in one class.
+Buckets of up to ``SMALL`` nodes are compared in all pairs. In a larger one every
+node is compared with one centre c: the node whose bands are the most common,
+which is what a group of copies was made from. Of the other pairs (x, y)
+
+* those that both link with c are in one class and need no comparison;
+* a text with i shingles in common with c needs ``0.8 |x| - i`` common shingles
+  that c hasn't with any text similar to it. If that is positive, x and y share one
+  of the first ``|x - c| - need + 1`` shingles of x - c, in order of their hashes. Each
+  of these is a new bucket of the nodes that were compared with c;
+* else 0.8 of x is in c. Then all of x - c are new buckets; a pair that shares none
+  of them and does not link with c both must be texts smaller than c, of like size:
+  they meet in a bucket of their size class.
+
+New buckets in which every node links with c are done with; the others are small or
+get a centre in turn. What many unlike texts have in common, such as a frequent
+line or passage, the first centre has too, so it makes no further bucket. Hence no
+pair of a bucket is lost, and the work follows the members of buckets, not their
+pairs: unless texts are many subsets of one that are all unlike, which are compared
+in all pairs after ``LEVELS`` rounds. The links compared are those needed to connect
+classes, not all that there are.
 
 A missed link needs a pair at 0.8 that shares no band: about 7 in 100,000 by the
 bands of weight 1 alone, whatever is repeated.
 Null texts, and texts without words other than equal ones, are in no class but
 their own. A class is named by its smallest id (null if it has none). Repeated
-rows are in one class, each with a row of the result.
+rows are in one class, each with a row of the result. Extra columns are left out by
+``classes`` and kept by ``one_of_each``, whatever their names. Of an empty table the
+result is empty. Long texts are read whole.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import dropped, heavy_lookup, map_texts, stored, table
 
 SHINGLE, BANDS, ROWS, THRESHOLD, SMALL, PIECE = 5, 25, 5, 0.8, 16, 3_000_000
+#: After so many rounds of centres, what is left of a bucket is compared in all pairs.
+LEVELS = 12
+LAST = 2**63 - 1
 REGISTERS = BANDS * ROWS
 _P = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
@@ -165,105 +179,84 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return map_texts(one, make, {"shingles": "array<long>"}, PIECE)
 
 
-def alike(a: str, b: str, threshold: float) -> str:
-    """Can sets of a and b shingles be so similar?"""
-    return f"least({a}, {b}) >= {threshold} * greatest({a}, {b}) - 1e-9"
-
-
 def links(docs: DataFrame, keys: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Verified pairs (a, b). keys: node, first_id, n, bands and size (its shingles) of each distinct text."""
+    """Verified pairs (a, b) whose components are those of all pairs of one bucket at the threshold.
+
+    keys: node, first_id, n, bands and size (its shingles) of each distinct text.
+    """
     spark = docs.sparkSession
-    member = keys.where("bands is not null").select("node", "first_id", F.col("size").alias("k"), F.posexplode("bands").alias("band", "value")).where("value is not null").withColumn("band", F.col("band") % BANDS)
-    sizes = member.groupBy("band", "value").agg(F.count("*").alias("size")).where("size > 1")
-    shared, shared_path = stored(member.join(sizes, ["band", "value"]), "buckets")
+    member = keys.where("bands is not null").select("node", "first_id", F.col("size").alias("k"), F.explode("bands").alias("key")).where("key is not null")
+    sizes = member.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    shared, shared_path = stored(member.join(sizes, "key"), "buckets")
     # How common a node's bands are: high in the middle of a group.
-    popular = shared.groupBy("node").agg(F.sum("size").alias("common"), F.first("first_id").alias("first_id"))
+    popular, popular_path = stored(shared.groupBy("node").agg(F.sum("size").alias("common"), F.first("first_id").alias("first_id")), "popular")
     sets, sets_path = stored(shingle_sets(docs, popular.select("node", "first_id")), "shingles")
-    bucket = ["band", "value"]
-    open_, paths, found, extra = shared.join(popular.select("node", "common"), "node").select(*bucket, "node", "k", "size", "common"), [shared_path], [], 0
-    fringe, near = 2 * threshold - 1, []
-    while True:
-        open_, path = stored(open_, "open")
+    paths, found, level = [popular_path, sets_path], [], 0
+    open_, path = stored(shared.join(popular.select("node", "common"), "node").select("key", "node", "k", "common", "size", F.lit(False).alias("linked")), "open")
+    dropped(spark, shared_path)
+    while open_.limit(1).count():
         paths.append(path)
-        if not open_.limit(1).count():
-            break
-        small = open_.where(F.col("size") <= SMALL).groupBy(*bucket).agg(F.sort_array(F.collect_list(F.struct("node", "k"))).alias("nodes"))
-        every = f"flatten(transform(nodes, (x, i) -> transform(filter(slice(nodes, i + 2, size(nodes)), y -> {alike('x.k', 'y.k', threshold)}), y -> struct(x.node as a, y.node as b))))"
-        pairs = small.select(F.explode(F.expr(every)).alias("p")).select("p.a", "p.b")
-        large = open_.where(F.col("size") > SMALL)
-        best = large.groupBy(*bucket).agg(F.max_by(F.struct("node", "k"), F.struct("common", "node")).alias("c"), F.min(F.struct("node", "k")).alias("m")).select(*bucket, F.explode(F.array("c", "m")).alias("c"))
-        # Those left over are unlike the centres so far: later rounds take more of them, twice as many each time.
-        more = large.where(F.pmod(F.xxhash64("node", *bucket), F.greatest(F.lit(1), F.floor(F.col("size") / extra))) == 0).select(*bucket, F.struct("node", "k").alias("c")) if extra else best.limit(0)
-        met = large.join(best.unionByName(more).distinct(), bucket).select(*bucket, "node", "k", "common", F.col("c.node").alias("centre"), F.col("c.k").alias("ck"))
-        pairs = pairs.unionByName(met.where(f"node != centre and {alike('k', 'ck', fringe)}").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")))
-        judged, path = stored(compared(pairs.distinct(), sets, fringe), "links")
-        paths.append(path)
-        new = judged.where(is_link(threshold)).select("a", "b")
+        pairs = all_pairs(open_ if level == LEVELS else open_.where(F.col("size") <= SMALL), threshold)
+        new, path = stored(compared(pairs, sets).where(is_link(threshold)).select("a", "b"), "links")
         found.append(new)
-        either = judged.select(F.col("a").alias("node"), F.col("b").alias("centre"), "na", "nb", "common").unionByName(judged.select(F.col("b").alias("node"), F.col("a").alias("centre"), "na", "nb", "common"))
-        round_, path = stored(met.select("node", "k", "centre").distinct().join(either, ["node", "centre"]).select("node", "k", "centre", is_link(threshold).alias("link"), far().alias("d")), "near-centres")
-        paths.append(path)
-        near.append(round_)
-        # Those of large buckets that link with no centre meet again.
-        linked = new.select(F.col("a").alias("node"), F.col("b").alias("centre")).unionByName(new.select(F.col("b").alias("node"), F.col("a").alias("centre")))
-        state = met.join(linked.withColumn("hit", F.lit(True)), ["node", "centre"], "left").groupBy(*bucket, "node").agg(F.max(F.coalesce("hit", F.lit(False)) | (F.col("node") == F.col("centre"))).alias("done"), F.first("common").alias("common"), F.first("k").alias("k"))
-        rest = state.where("not done").drop("done")
-        if not extra:
-            # From now on buckets hold texts of like length: two that can be similar are in one class or in neighbours.
-            cls = F.floor(F.log("k") / -F.log(F.lit(threshold)) + 1e-9).cast("int")
-            rest, bucket = rest.withColumn("cls", F.explode(F.array(cls, cls + 1))), [*bucket, "cls"]
-        extra = max(4, 2 * extra)
-        again = rest.groupBy(*bucket).agg(F.count("*").alias("size")).where("size > 1")
-        open_ = rest.join(again, bucket).select(*bucket, "node", "k", "size", "common")
-    every_link = found[0] if found else shared.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    for f in found[1:]:
-        every_link = every_link.unionByName(f)
-    every_link, path = stored(every_link.distinct(), "links")
-    if near:
         paths.append(path)
-        across, path = stored(left_apart(near, every_link, threshold), "across")
+        if level == LEVELS:
+            break
+        judged, path = stored(with_centres(open_.where(F.col("size") > SMALL), sets, threshold), "centres")
+        found.append(judged.where("linked").select(F.col("node").alias("a"), F.col("centre").alias("b")))
         paths.append(path)
-        every_link, _ = stored(every_link.unionByName(verified(across, sets, threshold)).distinct(), "links")
-    out = every_link
-    dropped(spark, *paths, sets_path)
+        level += 1
+        again = judged.select("node", "k", "common", "linked", F.explode("keys").alias("key"))
+        # Two that link with the same centre are in one class: a bucket needs one that does not.
+        sizes = again.groupBy("key").agg(F.count("*").alias("size"), F.bool_and("linked").alias("settled")).where("size > 1 and not settled").select("key", "size")
+        open_, path = stored(again.join(sizes, "key").select("key", "node", "k", "common", "size", "linked"), "open")
+    every = shared.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0) if not found else found[0]
+    for f in found[1:]:
+        every = every.unionByName(f)
+    out, _ = stored(every.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+    dropped(spark, *paths)
     return out
 
 
-def left_apart(near: list[DataFrame], links: DataFrame, threshold: float, salts: int = 32) -> DataFrame:
-    """Pairs of a member of a centre's group and a node that is near the centre but in another component, that can be similar.
+def all_pairs(members: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of each bucket that can be similar by their sizes and are not known to be in one class."""
+    nodes = members.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("node", "k", "linked"))).alias("nodes"))
+    every = f"flatten(transform(nodes, (x, i) -> transform(filter(slice(nodes, i + 2, size(nodes)), y -> least(x.k, y.k) >= {threshold} * greatest(x.k, y.k) - 1e-9 and not (x.linked and y.linked)), y -> struct(x.node as a, y.node as b))))"
+    return nodes.select(F.explode(F.expr(every)).alias("p")).select("p.a", "p.b").distinct()
 
-    near: node, k, centre, whether they link, and d, 1 less their similarity.
-    """
-    every = near[0]
-    for x in near[1:]:
-        every = every.unionByName(x)
-    every = every.distinct()
-    labels = components(links)
-    named = lambda df, node, label: df.join(labels.select(F.col("node").alias(node), F.col("label").alias(label)), node, "left").withColumn(label, F.coalesce(label, node))
-    outside = named(named(every.where("not link"), "node", "mine"), "centre", "other").where("mine != other").select("centre", F.col("node").alias("b"), F.col("k").alias("kb"), F.col("d").alias("db"))
-    member = every.where("link").select("centre", F.col("node").alias("a"), F.col("k").alias("ka"), F.col("d").alias("da"), F.pmod(F.xxhash64("node"), F.lit(salts)).alias("salt"))
-    outside = outside.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    pairs = member.join(outside, ["centre", "salt"]).where(f"db - da <= {1 - threshold} + 1e-9 and {alike('ka', 'kb', threshold)}")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
+def with_centres(large: DataFrame, sets: DataFrame, threshold: float, most: int = 512) -> DataFrame:
+    """Members of large buckets against the centre of their bucket: node, centre, k, common, linked and the keys under which to meet others.
 
-def is_link(threshold: float) -> F.Column:
-    return F.col("common") >= F.lit(threshold) * (F.col("na") + F.col("nb") - F.col("common")) - 1e-9
+    A hot bucket is dealt by salts to tasks of about ``most`` members, each with its own copy of the centre.
+    """
+    salts = lambda: F.ceil(F.col("size") / F.lit(most)).cast("int")
+    salt = lambda of: F.pmod(F.xxhash64("node"), of).cast("int").alias("salt")
+    best = large.groupBy("key").agg(F.max_by("node", F.struct("common", "node")).alias("centre"), F.first("size").alias("size"))
+    best = best.select("key", "centre", F.explode(F.sequence(F.lit(0), salts() - 1)).alias("salt"))
+    met = large.select("*", salt(salts())).join(best, ["key", "salt"]).where("node != centre")
+    star = met.groupBy("node", "centre").agg(F.max("size").alias("size"), F.first("k").alias("k"), F.first("common").alias("common")).select("node", "centre", "k", "common", salt(salts()))
+    copies = sets.join(star.select(F.col("centre").alias("node"), "salt").distinct(), "node").select(F.col("node").alias("centre"), "salt", F.col("shingles").alias("sc"))
+    both = star.join(sets.select("node", F.col("shingles").alias("sx")), "node").join(copies, ["centre", "salt"])
+    some = both.withColumn("i", F.size(F.array_intersect("sx", "sc"))).withColumn("nc", F.size("sc"))
+    some = some.withColumn("linked", F.col("i") >= F.lit(threshold) * (F.col("k") + F.col("nc") - F.col("i")) - 1e-9)
+    # So many shingles that the centre hasn't must be shared with any similar text.
+    some = some.withColumn("need", F.ceil(threshold * F.col("k") - 1e-9).cast("int") - F.col("i")).withColumn("own", F.array_except("sx", "sc"))
+    named = lambda what: F.xxhash64("centre", F.lit("loamline"), what)
+    beside = F.transform(F.slice("own", F.lit(1), F.size("own") - F.greatest(F.col("need") - 1, F.lit(0))), lambda s: named(s))
+    cls = F.floor(F.log("k") / -F.log(F.lit(threshold)) + 1e-9).cast("long")
+    within = F.when((F.col("need") <= 0) & (F.col("k") < F.col("nc")), F.array(named(-1 - cls), named(-2 - cls))).otherwise(F.array().cast("array<long>"))
+    return some.select("node", "centre", "k", "common", "linked", F.concat(beside, within).alias("keys"))
 
 
-def far() -> F.Column:
-    return 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
+def is_link(threshold: float) -> F.Column:
+    return F.col("both") >= F.lit(threshold) * (F.col("na") + F.col("nb") - F.col("both")) - 1e-9
 
 
-def compared(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(one, "a").join(two, "b").select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("common"))
-    return both.where(is_link(threshold))
-
-
-def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    return compared(pairs, sets, threshold).select("a", "b")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("both"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -273,18 +266,21 @@ def components(edges: DataFrame) -> DataFrame:
     def mark(e: DataFrame):
         return e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
+    def with_least(rows: DataFrame, least: DataFrame) -> tuple[DataFrame, str]:
+        facts, path = stored(least, "least")
+        return heavy_lookup(rows, facts, "u", "n"), path
+
     now, path = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "stars")
     before = mark(now)
     while before[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        mid, mid_path = stored(large, "stars")
-        least = mid.groupBy("u").agg(F.min("v").alias("m"))
-        joined = mid.join(least, "u")
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large, least_path = with_least(both.where("v > u"), least)
+        mid, mid_path = stored(large.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct(), "stars")
+        joined, least_path_2 = with_least(mid, mid.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")))
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v"))).where("u != v").distinct()
         after, after_path = stored(small, "stars")
-        dropped(spark, mid_path, path)
+        dropped(spark, mid_path, path, least_path, least_path_2)
         now, path, mine = after, after_path, mark(after)
         if mine == before:
             break
@@ -293,32 +289,31 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, node (of the text), class_id, class_size and n_links of every row."""
+    """doc_id, node (of the text), class_id, class_size and keeper (is it the text that stays?) of every row."""
     hashed = docs.select("doc_id", node().alias("node"), "text")
     rows, _ = stored(map_texts(hashed, lambda: bands_of, {"bands": "array<long>", "size": "int"}, PIECE), "bands")
     keys, keys_path = stored(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("size").alias("size")), "texts")
-    pairs = links(docs, keys, threshold)
-    labels = components(pairs)
-    degree = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    named = keys.select("node", "first_id", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    groups = named.groupBy("label").agg(F.min("first_id").alias("class_id"), F.sum("n").alias("class_size"), F.min(F.struct(F.col("first_id").isNull(), "first_id", "node"))["node"].alias("keeper"))
-    facts = named.join(groups, "label").join(degree, "node", "left").select("node", "n", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"), (F.col("keeper") == F.col("node")).alias("keeper"))
+    labels = components(links(docs, keys, threshold))
+    named, named_path = stored(keys.select("node", "first_id", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labels")
+    groups, groups_path = stored(named.groupBy("label").agg(F.min("first_id").alias("class_id"), F.sum("n").alias("class_size"), F.count("*").alias("texts"), F.min(F.struct(F.col("first_id").isNull(), "first_id", "node"))["node"].alias("keeper")), "groups")
+    facts = heavy_lookup(named, groups, "label", "texts").select("node", "n", "class_id", "class_size", (F.col("keeper") == F.col("node")).alias("keeper"))
     facts, _ = stored(facts, "classes")
+    dropped(docs.sparkSession, keys_path, named_path, groups_path)
     out = heavy_lookup(rows.select("doc_id", "node"), facts, "node", "n")
-    return out.select("doc_id", "node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("keeper", F.lit(True)).alias("keeper"))
+    return out.select("doc_id", "node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"), F.coalesce("keeper", F.lit(True)).alias("keeper"))
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs with one row of each class: that of the smallest id. Null texts all stay."""
-    least = F.coalesce("doc_id", F.lit(2**63 - 1))
-    keep = classes(docs.select("doc_id", "text"), threshold).where("keeper and node is not null").groupBy(F.col("node").alias("_node")).agg(F.min(least).alias("_id"))
-    columns = [f"`{c}`" for c in docs.columns]
-    whole = docs.withColumns({"_node": node(), "_id": least})
-    # By text and id: copies of one text go to many tasks, and only rows of the smallest id are left. Of equal rows the first stays.
-    left = whole.where("_node is not null").join(keep, ["_node", "_id"], "left_semi")
-    first = left.withColumn("_rn", F.row_number().over(Window.partitionBy("_node", "_id").orderBy("doc_id"))).where("_rn = 1")
-    return first.select(*columns).unionByName(whole.where("_node is null").select(*columns))
+    """docs with one row of each class: that of the smallest id; of several, that whose hash is the least. Null texts all stay."""
+    least = F.coalesce("doc_id", F.lit(LAST))
+    keep = classes(docs.select("doc_id", "text"), threshold).where("keeper and node is not null").groupBy("node").agg(F.min(least).alias("id"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    whole = docs.select(F.struct(*columns).alias("_row"), node().alias("node"), least.alias("id"))
+    # By text and id: copies of one text go to many tasks, and only rows of the smallest id are left.
+    left = whole.where("node is not null").join(keep, ["node", "id"], "left_semi")
+    first = left.groupBy("node", "id").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
+    return first.select("_row").unionByName(whole.where("node is null").select("_row")).select("_row.*")
 
 
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classes(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "class_size", "n_links")
+    return classes(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "class_size")

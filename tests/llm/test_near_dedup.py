@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 from loamline.llm import near_dedup as nd
+from loamline.llm.common import stored
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -72,25 +73,65 @@ def test_empty(spark):
     assert nd.classes(docs).count() == 0 and nd.one_of_each(docs).count() == 0
 
 
-def test_chains_and_unlike_centres_in_one_bucket(spark):
-    """All nodes are in one bucket, so no other band can make up for a pair that is not compared."""
-    r = random.Random(4)
-    texts = []
-    for chain, n in enumerate((40, 25, 12)):
-        words = [f"c{chain}w{i}" for i in range(400)]
-        texts += [" ".join(words[i * 8 : i * 8 + 104]) for i in range(n)]  # neighbours are at 92 / 108, others below 0.8
-    r.shuffle(texts)
+def in_one_bucket(spark, texts):
+    """Classes by the operator against brute force; no other band can make up for a pair that is not compared."""
     rows = list(enumerate(texts))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     size = {i: len(sets(t)) for i, t in rows}
     of = spark.createDataFrame(list(size.items()), "doc_id long, size int")
-    keys = docs.join(of, "doc_id").selectExpr("unhex(sha1(cast(text as binary))) AS node", "doc_id AS first_id", "1L AS n", "array(1L) AS bands", "size").localCheckpoint()
-    links = nd.links(docs, keys).localCheckpoint()
-    labels = keys.select("node", "first_id").join(nd.components(links), "node", "left").selectExpr("first_id", "hex(coalesce(label, node)) AS label").collect()
+    keys = docs.join(of, "doc_id").selectExpr("unhex(sha1(cast(text as binary))) AS node", "doc_id AS first_id", "1L AS n", "array(1L) AS bands", "size")
+    keys, _ = stored(keys, "keys")
+    labels = keys.select("node", "first_id").join(nd.components(nd.links(docs, keys)), "node", "left").selectExpr("first_id", "hex(coalesce(label, node)) AS label").collect()
     groups = {}
     for x in labels:
         groups.setdefault(x["label"], []).append(x["first_id"])
     assert sorted((d, min(g)) for g in groups.values() for d in g) == brute(rows)
+    return len(groups)
+
+
+def test_chains_and_unlike_centres_in_one_bucket(spark):
+    r = random.Random(4)
+    texts = []
+    for chain, n in enumerate((40, 25, 12)):
+        words = [f"c{chain}w{i}" for i in range(400)]
+        texts += [" ".join(words[i * 8 : i * 8 + 104]) for i in range(n)]  # neighbours are at 92 / 108, others below 0.8
+    r.shuffle(texts)
+    assert in_one_bucket(spark, texts) == 3
+
+
+def test_a_passage_in_unlike_texts_a_group_of_copies_and_nested_texts_in_one_bucket(spark):
+    r = random.Random(5)
+    word = lambda: f"w{r.randrange(10**9)}"
+    passage, line = [word() for _ in range(25)], [word() for _ in range(9)]
+    texts = [" ".join([word() for _ in range(r.randrange(30, 90))] + (line if r.random() < 0.3 else []) + passage + [word() for _ in range(20)]) for _ in range(400)]
+    base = [word() for _ in range(90)] + passage
+    for _ in range(200):
+        w = list(base)
+        for _ in range(r.randrange(7)):
+            w[r.randrange(90)] = word() if r.random() < 0.7 else "again"
+        texts.append(" ".join(w))
+    whole = [word() for _ in range(400)] + passage
+    texts += [" ".join(whole[k:]) for k in range(0, 390, 7)]  # each contains the next
+    texts += [" ".join(whole[: 60 + 10 * k] + passage) for k in range(20)]
+    texts = list(dict.fromkeys(texts))
+    r.shuffle(texts)
+    in_one_bucket(spark, texts)
+
+
+def test_many_subsets_of_one_text_are_compared_in_the_end(spark, monkeypatch):
+    monkeypatch.setattr(nd, "LEVELS", 2)
+    r = random.Random(6)
+    base = [f"w{i}" for i in range(160)]
+    texts = [" ".join(base)] + [" ".join(base[: 100 + r.randrange(8)] + [f"x{k % 40}"] * (k % 3)) for k in range(60)] + [" ".join(base[40 + k % 9 :]) for k in range(40)]
+    in_one_bucket(spark, list(dict.fromkeys(texts)))
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = [(1, "a b c d e f", "x", 1, 2), (2, "a b c d e f", "y", 3, 4), (None, None, None, None, None), (3, None, "z", 5, 6), (1, "a b c d e f", "x", 1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, node string, _node int, _id int")
+    kept = nd.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[0], rows[2], rows[3]], key=str)
 
 
 def test_texts_that_repeat_passages_share_bands_with_copies_that_do_not():
