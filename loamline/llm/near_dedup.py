@@ -12,14 +12,16 @@ repeats the two are the same. Nodes in a bucket are candidates, and a candidate
 is a link if the Jaccard similarity of the two shingle sets is at least 0.8,
 computed exactly. Classes are the connected components of the links.
 
-Buckets of up to ``SMALL`` nodes are compared in all pairs. In a larger one every
-node is compared with one centre c: the node whose bands are the most common,
-which is what a group of copies was made from. Of the other pairs (x, y)
+Buckets of up to ``SMALL`` nodes, in later rounds ``LATER``, are compared in all pairs. In a larger one every
+node is compared with one centre c: the node whose bands are the most common, in
+later rounds the one nearest to the centre before, which is what a group of copies
+was made from. Of the other pairs (x, y)
 
 * those that both link with c are in one class and need no comparison;
 * a text with i shingles in common with c needs ``0.8 |x| - i`` common shingles
-  that c hasn't with any text similar to it. If that is positive, x and y share one
-  of the first ``|x - c| - need + 1`` shingles of x - c, in order of their hashes. Each
+  that c hasn't with any text similar to it, and ``8/9 |x| - i`` with one that is not
+  smaller. If that is positive, x and y share one of the first ``|x - c| - need + 1``
+  shingles of x - c, in any fixed order: by hashes, those that many have last. Each
   of these is a new bucket of the nodes that were compared with c;
 * else 0.8 of x is in c. Then all of x - c are new buckets; a pair that shares none
   of them and does not link with c both must be texts smaller than c, of like size:
@@ -51,6 +53,8 @@ from pyspark.sql import functions as F
 from .common import dropped, heavy_lookup, map_texts, stored, table
 
 SHINGLE, BANDS, ROWS, THRESHOLD, SMALL, PIECE = 5, 25, 5, 0.8, 16, 3_000_000
+#: Buckets of later rounds, in which few texts are left, that are compared in all pairs.
+LATER = 64
 #: After so many rounds of centres, what is left of a bucket is compared in all pairs.
 LEVELS = 12
 LAST = 2**63 - 1
@@ -192,24 +196,26 @@ def links(docs: DataFrame, keys: DataFrame, threshold: float = THRESHOLD) -> Dat
     popular, popular_path = stored(shared.groupBy("node").agg(F.sum("size").alias("common"), F.first("first_id").alias("first_id")), "popular")
     sets, sets_path = stored(shingle_sets(docs, popular.select("node", "first_id")), "shingles")
     paths, found, level = [popular_path, sets_path], [], 0
-    open_, path = stored(shared.join(popular.select("node", "common"), "node").select("key", "node", "k", "common", "size", F.lit(False).alias("linked")), "open")
+    first = shared.join(popular.select("node", "common"), "node").select("key", "node", "k", F.col("common").cast("double").alias("central"), "size", F.lit(False).alias("linked"), F.lit(True).alias("lesser"))
+    open_, path = stored(first, "open")
     dropped(spark, shared_path)
     while open_.limit(1).count():
         paths.append(path)
-        pairs = all_pairs(open_ if level == LEVELS else open_.where(F.col("size") <= SMALL), threshold)
+        small = F.col("size") <= (LATER if level else SMALL)
+        pairs = all_pairs(open_ if level == LEVELS else open_.where(small), threshold)
         new, path = stored(compared(pairs, sets).where(is_link(threshold)).select("a", "b"), "links")
         found.append(new)
         paths.append(path)
-        if level == LEVELS:
+        if level == LEVELS or not open_.where(~small).limit(1).count():
             break
-        judged, path = stored(with_centres(open_.where(F.col("size") > SMALL), sets, threshold), "centres")
+        judged, path = stored(with_centres(open_.where(~small), sets, threshold), "centres")
         found.append(judged.where("linked").select(F.col("node").alias("a"), F.col("centre").alias("b")))
         paths.append(path)
         level += 1
-        again = judged.select("node", "k", "common", "linked", F.explode("keys").alias("key"))
-        # Two that link with the same centre are in one class: a bucket needs one that does not.
-        sizes = again.groupBy("key").agg(F.count("*").alias("size"), F.bool_and("linked").alias("settled")).where("size > 1 and not settled").select("key", "size")
-        open_, path = stored(again.join(sizes, "key").select("key", "node", "k", "common", "size", "linked"), "open")
+        often, path = stored(often_beside(judged, threshold), "often")
+        paths.append(path)
+        again = beside(judged, often, threshold)
+        open_, path = stored(again.join(unsettled(again), "key"), "open")
     every = shared.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0) if not found else found[0]
     for f in found[1:]:
         every = every.unionByName(f)
@@ -218,35 +224,64 @@ def links(docs: DataFrame, keys: DataFrame, threshold: float = THRESHOLD) -> Dat
     return out
 
 
+def unsettled(members: DataFrame) -> DataFrame:
+    """key and size of buckets that can hold a pair: two that link with the same centre are in one class."""
+    facts = members.groupBy("key").agg(F.count("*").alias("size"), F.bool_and("linked").alias("settled"), F.bool_or("lesser").alias("open"))
+    return facts.where("size > 1 and open and not settled").select("key", "size")
+
+
 def all_pairs(members: DataFrame, threshold: float) -> DataFrame:
     """Pairs of each bucket that can be similar by their sizes and are not known to be in one class."""
-    nodes = members.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("node", "k", "linked"))).alias("nodes"))
-    every = f"flatten(transform(nodes, (x, i) -> transform(filter(slice(nodes, i + 2, size(nodes)), y -> least(x.k, y.k) >= {threshold} * greatest(x.k, y.k) - 1e-9 and not (x.linked and y.linked)), y -> struct(x.node as a, y.node as b))))"
+    nodes = members.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("k", "node", "linked", "lesser"))).alias("nodes"))
+    # In order of size: the first of a pair is the lesser one.
+    every = f"flatten(transform(nodes, (x, i) -> transform(filter(slice(nodes, i + 2, if(x.lesser, size(nodes), 0)), y -> x.k >= {threshold} * y.k - 1e-9 and (y.lesser or x.k < y.k) and not (x.linked and y.linked)), y -> struct(least(x.node, y.node) as a, greatest(x.node, y.node) as b))))"
     return nodes.select(F.explode(F.expr(every)).alias("p")).select("p.a", "p.b").distinct()
 
 
 def with_centres(large: DataFrame, sets: DataFrame, threshold: float, most: int = 512) -> DataFrame:
-    """Members of large buckets against the centre of their bucket: node, centre, k, common, linked and the keys under which to meet others.
+    """Members of large buckets against the centre of their bucket: node, centre, k, nc, i (shingles of both), central, linked and own (shingles that the centre hasn't).
 
     A hot bucket is dealt by salts to tasks of about ``most`` members, each with its own copy of the centre.
     """
     salts = lambda: F.ceil(F.col("size") / F.lit(most)).cast("int")
     salt = lambda of: F.pmod(F.xxhash64("node"), of).cast("int").alias("salt")
-    best = large.groupBy("key").agg(F.max_by("node", F.struct("common", "node")).alias("centre"), F.first("size").alias("size"))
+    best = large.groupBy("key").agg(F.max_by("node", F.struct("central", "node")).alias("centre"), F.first("size").alias("size"))
     best = best.select("key", "centre", F.explode(F.sequence(F.lit(0), salts() - 1)).alias("salt"))
     met = large.select("*", salt(salts())).join(best, ["key", "salt"]).where("node != centre")
-    star = met.groupBy("node", "centre").agg(F.max("size").alias("size"), F.first("k").alias("k"), F.first("common").alias("common")).select("node", "centre", "k", "common", salt(salts()))
+    star = met.groupBy("node", "centre").agg(F.max("size").alias("size"), F.first("k").alias("k")).select("node", "centre", "k", salt(salts()))
     copies = sets.join(star.select(F.col("centre").alias("node"), "salt").distinct(), "node").select(F.col("node").alias("centre"), "salt", F.col("shingles").alias("sc"))
     both = star.join(sets.select("node", F.col("shingles").alias("sx")), "node").join(copies, ["centre", "salt"])
     some = both.withColumn("i", F.size(F.array_intersect("sx", "sc"))).withColumn("nc", F.size("sc"))
-    some = some.withColumn("linked", F.col("i") >= F.lit(threshold) * (F.col("k") + F.col("nc") - F.col("i")) - 1e-9)
-    # So many shingles that the centre hasn't must be shared with any similar text.
-    some = some.withColumn("need", F.ceil(threshold * F.col("k") - 1e-9).cast("int") - F.col("i")).withColumn("own", F.array_except("sx", "sc"))
-    named = lambda what: F.xxhash64("centre", F.lit("loamline"), what)
-    beside = F.transform(F.slice("own", F.lit(1), F.size("own") - F.greatest(F.col("need") - 1, F.lit(0))), lambda s: named(s))
+    # What is nearest to one centre, often the text that others were made from, is the next one.
+    some = some.withColumn("central", F.col("i") / (F.col("k") + F.col("nc") - F.col("i"))).withColumn("linked", F.col("central") >= threshold - 1e-9)
+    return some.select("node", "centre", "k", "nc", "i", "central", "linked", F.array_except("sx", "sc").alias("own"))
+
+
+def beside(judged: DataFrame, often: DataFrame | None, threshold: float) -> DataFrame:
+    """Buckets in which nodes compared with one centre meet again: key, node, k, central, linked and lesser.
+
+    The shingles that the centre hasn't are taken in order of their hashes, those that are found often last. A text
+    needs so many in common with any that is similar: more with one that is not smaller (``lesser``).
+    """
+    own = F.col("own")
+    if often is not None:
+        judged = heavy_lookup(judged, often, "centre", "n")
+        own = F.when(F.col("often").isNull(), own).otherwise(F.concat(F.array_except("own", "often"), F.array_intersect("often", "own")))
+    need = lambda part: F.ceil(part * F.col("k") - 1e-9).cast("int") - F.col("i")
+    first = lambda part: F.size("own") - F.greatest(need(part) - 1, F.lit(0))
+    least = 2 * threshold / (1 + threshold)
     cls = F.floor(F.log("k") / -F.log(F.lit(threshold)) + 1e-9).cast("long")
-    within = F.when((F.col("need") <= 0) & (F.col("k") < F.col("nc")), F.array(named(-1 - cls), named(-2 - cls))).otherwise(F.array().cast("array<long>"))
-    return some.select("node", "centre", "k", "common", "linked", F.concat(beside, within).alias("keys"))
+    within = F.when((need(threshold) <= 0) & (F.col("k") < F.col("nc")), F.array(-1 - cls, -2 - cls)).otherwise(F.array().cast("array<long>"))
+    mine = judged.select("node", "centre", "k", "central", "linked", F.slice(own, F.lit(1), first(threshold)).alias("own"), first(least).alias("lesser"), within.alias("within"))
+    at = lambda name, lesser: mine.select("node", "k", "central", "linked", "centre", "lesser", F.posexplode(name)).select(F.xxhash64("centre", F.lit(name), "col").alias("key"), "node", "k", "central", "linked", lesser.alias("lesser"), "centre", F.col("col").alias("what"))
+    return at("own", F.col("pos") < F.col("lesser")).unionByName(at("within", F.lit(True))).drop(*(() if often is None else ("centre", "what")))
+
+
+def often_beside(judged: DataFrame, threshold: float) -> DataFrame:
+    """For each centre, the shingles that it hasn't and many of its bucket's members have, the most frequent last; and the number n of members."""
+    kinds = beside(judged, None, threshold).groupBy("key").agg(F.count("*").alias("size"), F.first("centre").alias("centre"), F.first("what").alias("what")).where(F.col("size") > SMALL)
+    listed = kinds.groupBy("centre").agg(F.expr("transform(sort_array(collect_list(struct(size, what))), x -> x.what)").alias("often"))
+    return listed.join(judged.groupBy("centre").agg(F.count("*").alias("n")), "centre")
 
 
 def is_link(threshold: float) -> F.Column:
