@@ -12,28 +12,28 @@ repeats the two are the same. Nodes in a bucket are candidates, and a candidate
 is a link if the Jaccard similarity of the two shingle sets is at least 0.8,
 computed exactly. Classes are the connected components of the links.
 
-Buckets of up to ``SMALL`` nodes, in later rounds ``LATER``, are compared in all pairs. In a larger one every
-node is compared with one centre c: the node whose bands are the most common, in
-later rounds the one nearest to the centre before, which is what a group of copies
-was made from. Of the other pairs (x, y)
+Buckets of up to ``SMALL`` nodes, in later rounds ``LATER``, are compared in all pairs.
+Larger ones with the same most central node (at first, whose bands are the most
+common) are a group. Its consensus C is the set of shingles that most of a few
+members have; its centre c is the member nearest to C. Every node x is compared
+with C, and by what it has beside C and lacks of it with c. Of the other pairs
 
 * those that both link with c are in one class and need no comparison;
-* a text with i shingles in common with c needs ``0.8 |x| - i`` common shingles
-  that c hasn't with any text similar to it, and ``8/9 |x| - i`` with one that is not
-  smaller. If that is positive, x and y share one of the first ``|x - c| - need + 1``
-  shingles of x - c, in any fixed order: by hashes, those that many have last. Each
-  of these is a new bucket of the nodes that were compared with c;
-* else 0.8 of x is in c. Then all of x - c are new buckets; a pair that shares none
-  of them and does not link with c both must be texts smaller than c, of like size:
-  they meet in a bucket of their size class.
-
-New buckets in which every node links with c are done with; the others are small or
-get a centre in turn. What many unlike texts have in common, such as a frequent
-line or passage, the first centre has too, so it makes no further bucket. Hence no
-pair of a bucket is lost, and the work follows the members of buckets, not their
-pairs: unless texts are many subsets of one that are all unlike, which are compared
-in all pairs after ``LEVELS`` rounds. The links compared are those needed to connect
-classes, not all that there are.
+* with i = ``|x & C|``, x needs ``0.8 |x| - i`` common shingles outside C with any text
+  similar to it, and ``8/9 |x| - i`` with one that is not smaller. If that is positive,
+  x and y share one of the first ``|x - C| - need + 1`` shingles of x - C, in any fixed
+  order: by hashes, those that many have last. Each is a new bucket;
+* else all of x - C are new buckets. A pair that shares none of them has at most
+  ``|C| - |C - x| - |C - y| + |C - x - y|`` shingles in common, which gives a number of
+  shingles of C that both must lack: the first of C - x are new buckets likewise. Where
+  that number is none, the pair meets in a bucket of its size class.
+
+New buckets in which every node links with c are done with, and where few do not,
+these are compared with all; the others are small or groups in turn. What many unlike texts have in common, such as a frequent line or
+passage, is in C, so it makes no further bucket; copies with many changes find no
+partner by what they changed. Hence no pair of a bucket is lost, and the work follows
+the members of buckets, not their pairs; what is left after ``LEVELS`` rounds is compared
+in all pairs. The links compared are those needed to connect classes, not all.
 
 A missed link needs a pair at 0.8 that shares no band: about 7 in 100,000 by the
 bands of weight 1 alone, whatever is repeated.
@@ -55,6 +55,10 @@ from .common import dropped, heavy_lookup, map_texts, stored, table
 SHINGLE, BANDS, ROWS, THRESHOLD, SMALL, PIECE = 5, 25, 5, 0.8, 16, 3_000_000
 #: Buckets of later rounds, in which few texts are left, that are compared in all pairs.
 LATER = 64
+#: If so many nodes of a larger one do not link with the centre, they are compared with all.
+FEW = 32
+#: About so many members of a group vote on its consensus; any set would give the same classes.
+VOTES = 9
 #: After so many rounds of centres, what is left of a bucket is compared in all pairs.
 LEVELS = 12
 LAST = 2**63 - 1
@@ -196,26 +200,33 @@ def links(docs: DataFrame, keys: DataFrame, threshold: float = THRESHOLD) -> Dat
     popular, popular_path = stored(shared.groupBy("node").agg(F.sum("size").alias("common"), F.first("first_id").alias("first_id")), "popular")
     sets, sets_path = stored(shingle_sets(docs, popular.select("node", "first_id")), "shingles")
     paths, found, level = [popular_path, sets_path], [], 0
-    first = shared.join(popular.select("node", "common"), "node").select("key", "node", "k", F.col("common").cast("double").alias("central"), "size", F.lit(False).alias("linked"), F.lit(True).alias("lesser"))
+    first = shared.join(popular.select("node", "common"), "node").select("key", "node", "k", F.col("common").cast("double").alias("central"), "size", F.col("size").alias("unlinked"), F.lit(False).alias("linked"), (F.col("k") / threshold).alias("cap"))
     open_, path = stored(first, "open")
     dropped(spark, shared_path)
     while open_.limit(1).count():
         paths.append(path)
-        small = F.col("size") <= (LATER if level else SMALL)
+        small = F.col("size") <= LATER if level else F.col("size") <= SMALL
         pairs = all_pairs(open_ if level == LEVELS else open_.where(small), threshold)
+        if 0 < level < LEVELS:
+            few = ~small & (F.col("unlinked") <= FEW)
+            pairs, small = pairs.unionByName(with_few(open_.where(few), threshold)).distinct(), small | few
         new, path = stored(compared(pairs, sets).where(is_link(threshold)).select("a", "b"), "links")
         found.append(new)
         paths.append(path)
         if level == LEVELS or not open_.where(~small).limit(1).count():
             break
-        judged, path = stored(with_centres(open_.where(~small), sets, threshold), "centres")
-        found.append(judged.where("linked").select(F.col("node").alias("a"), F.col("centre").alias("b")))
+        apart, path = stored(differences(spark, open_.where(~small), sets, paths), "differences")
+        paths.append(path)
+        judged, path = stored(with_centre(apart, threshold), "centres")
+        found.append(judged.where("linked and node != centre").select(F.col("node").alias("a"), F.col("centre").alias("b")))
         paths.append(path)
         level += 1
         often, path = stored(often_beside(judged, threshold), "often")
         paths.append(path)
-        again = beside(judged, often, threshold)
-        open_, path = stored(again.join(unsettled(again), "key"), "open")
+        able, path = stored(unsettled(beside(judged, often, threshold)), "able")
+        paths.append(path)
+        sizes = able.groupBy("key").agg(F.count("*").alias("size"), F.count_if(~F.col("linked")).alias("unlinked")).where("size > 1")
+        open_, path = stored(able.join(sizes, "key"), "open")
     every = shared.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0) if not found else found[0]
     for f in found[1:]:
         every = every.unionByName(f)
@@ -225,63 +236,105 @@ def links(docs: DataFrame, keys: DataFrame, threshold: float = THRESHOLD) -> Dat
 
 
 def unsettled(members: DataFrame) -> DataFrame:
-    """key and size of buckets that can hold a pair: two that link with the same centre are in one class."""
-    facts = members.groupBy("key").agg(F.count("*").alias("size"), F.bool_and("linked").alias("settled"), F.bool_or("lesser").alias("open"))
-    return facts.where("size > 1 and open and not settled").select("key", "size")
+    """Without those that can have no partner: two that link with the same centre are in one class."""
+    cap = F.max(F.when(~F.col("linked"), F.col("cap")))
+    facts = members.groupBy("key").agg(F.count("*").alias("size"), cap.alias("most"), F.min("k").alias("least")).where("size > 1 and most >= least")
+    return members.join(facts.drop("size"), "key").where("cap >= least and (not linked or k <= most)").drop("most", "least")
+
+
+def able(x: str, y: str, threshold: float) -> str:
+    """Can x and y be similar by their sizes? cap is the greatest size of a text similar to one."""
+    return f"{x}.k <= {y}.cap and {y}.k <= {x}.cap and least({x}.k, {y}.k) >= {threshold} * greatest({x}.k, {y}.k) - 1e-9"
 
 
 def all_pairs(members: DataFrame, threshold: float) -> DataFrame:
     """Pairs of each bucket that can be similar by their sizes and are not known to be in one class."""
-    nodes = members.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("k", "node", "linked", "lesser"))).alias("nodes"))
-    # In order of size: the first of a pair is the lesser one.
-    every = f"flatten(transform(nodes, (x, i) -> transform(filter(slice(nodes, i + 2, if(x.lesser, size(nodes), 0)), y -> x.k >= {threshold} * y.k - 1e-9 and (y.lesser or x.k < y.k) and not (x.linked and y.linked)), y -> struct(least(x.node, y.node) as a, greatest(x.node, y.node) as b))))"
+    nodes = members.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("node", "k", "linked", "cap"))).alias("nodes"))
+    every = f"flatten(transform(nodes, (x, i) -> transform(filter(slice(nodes, i + 2, size(nodes)), y -> not (x.linked and y.linked) and {able('x', 'y', threshold)}), y -> struct(x.node as a, y.node as b))))"
     return nodes.select(F.explode(F.expr(every)).alias("p")).select("p.a", "p.b").distinct()
 
 
-def with_centres(large: DataFrame, sets: DataFrame, threshold: float, most: int = 512) -> DataFrame:
-    """Members of large buckets against the centre of their bucket: node, centre, k, nc, i (shingles of both), central, linked and own (shingles that the centre hasn't).
+def with_few(members: DataFrame, threshold: float, most: int = 512) -> DataFrame:
+    """Pairs of the few unlinked nodes of each bucket with all of its nodes; hot buckets are dealt by salts."""
+    salts = F.ceil(F.col("size") / F.lit(most)).cast("int")
+    some = members.where("not linked").groupBy("key").agg(F.collect_list(F.struct("node", "k", "cap")).alias("few"), F.first("size").alias("size"))
+    some = some.select("key", "few", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    met = members.select("key", F.struct("node", "k", "cap").alias("y"), F.pmod(F.xxhash64("node"), salts).cast("int").alias("salt")).join(some, ["key", "salt"])
+    pairs = met.select("y.node", F.explode(F.expr(f"transform(filter(few, x -> x.node != y.node and {able('x', 'y', threshold)}), x -> x.node)")).alias("other"))
+    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+
+
+def differences(spark: SparkSession, large: DataFrame, sets: DataFrame, paths: list[str], most: int = 512) -> DataFrame:
+    """Members of large buckets beside the consensus of their group: node, g, salt, k, own, missing and nc, the size of the consensus.
 
-    A hot bucket is dealt by salts to tasks of about ``most`` members, each with its own copy of the centre.
+    Buckets with the same most central node are one group g, and its consensus is what most of a few of its members
+    have. A hot group is dealt by salts to tasks of about ``most`` members, each with its own copy of the consensus.
     """
     salts = lambda: F.ceil(F.col("size") / F.lit(most)).cast("int")
     salt = lambda of: F.pmod(F.xxhash64("node"), of).cast("int").alias("salt")
-    best = large.groupBy("key").agg(F.max_by("node", F.struct("central", "node")).alias("centre"), F.first("size").alias("size"))
-    best = best.select("key", "centre", F.explode(F.sequence(F.lit(0), salts() - 1)).alias("salt"))
-    met = large.select("*", salt(salts())).join(best, ["key", "salt"]).where("node != centre")
-    star = met.groupBy("node", "centre").agg(F.max("size").alias("size"), F.first("k").alias("k")).select("node", "centre", "k", salt(salts()))
-    copies = sets.join(star.select(F.col("centre").alias("node"), "salt").distinct(), "node").select(F.col("node").alias("centre"), "salt", F.col("shingles").alias("sc"))
-    both = star.join(sets.select("node", F.col("shingles").alias("sx")), "node").join(copies, ["centre", "salt"])
-    some = both.withColumn("i", F.size(F.array_intersect("sx", "sc"))).withColumn("nc", F.size("sc"))
-    # What is nearest to one centre, often the text that others were made from, is the next one.
-    some = some.withColumn("central", F.col("i") / (F.col("k") + F.col("nc") - F.col("i"))).withColumn("linked", F.col("central") >= threshold - 1e-9)
-    return some.select("node", "centre", "k", "nc", "i", "central", "linked", F.array_except("sx", "sc").alias("own"))
+    best = large.groupBy("key").agg(F.max_by("node", F.struct("central", "node")).alias("g"), F.first("size").alias("size"))
+    best = best.select("key", "g", F.explode(F.sequence(F.lit(0), salts() - 1)).alias("salt"))
+    met = large.select("*", salt(salts())).join(best, ["key", "salt"])
+    star, path = stored(met.groupBy("node", "g").agg(F.max("size").alias("size"), F.first("k").alias("k")).select("node", "g", "k", "size", salt(salts())), "groups")
+    paths.append(path)
+    few = star.where((F.pmod(F.xxhash64("node", F.lit(7)), F.ceil(F.col("size") / F.lit(VOTES))) == 0) | (F.col("node") == F.col("g"))).select("node", "g")
+    votes = few.join(sets, "node").select("g", F.explode("shingles").alias("s")).groupBy("g", "s").agg(F.count("*").alias("votes"))
+    common = votes.join(few.groupBy("g").agg(F.count("*").alias("voters")), "g").where("2 * votes > voters").groupBy("g").agg(F.sort_array(F.collect_list("s")).alias("common"))
+    copies = star.select("g", "salt").distinct().join(common, "g", "left").select("g", "salt", F.coalesce("common", F.array().cast("array<long>")).alias("common"))
+    both = star.join(sets, "node").join(copies, ["g", "salt"])
+    return both.select("node", "g", "salt", "k", F.array_except("shingles", "common").alias("own"), F.array_except("common", "shingles").alias("missing"), F.size("common").alias("nc"))
+
+
+def with_centre(apart: DataFrame, threshold: float) -> DataFrame:
+    """``differences`` with the group's centre, whether a node links with it, and the least numbers of missing shingles (dmin) and of shingles (kmin) of nodes near the consensus."""
+    near = F.col("k") - F.size("own") >= F.ceil(threshold * F.col("k") - 1e-9)
+    away = F.size("own") + F.size("missing")
+    best = apart.groupBy("g").agg(F.min_by(F.struct("node", "k", "own", "missing"), F.struct(away, "node")).alias("c"), F.min(F.when(near, F.size("missing"))).alias("dmin"), F.min(F.when(near, F.col("k"))).alias("kmin"), F.min("k").alias("least"))
+    both = apart.join(apart.select("g", "salt").distinct().join(best, "g"), ["g", "salt"])
+    shared = F.col("nc") - F.size(F.array_union("missing", "c.missing")) + F.size(F.array_intersect("own", "c.own"))
+    linked = shared >= F.lit(threshold) * (F.col("k") + F.col("c.k") - shared) - 1e-9
+    return both.select("node", "g", F.col("c.node").alias("centre"), "k", "nc", "own", "missing", "dmin", "kmin", "least", (-away / F.col("k")).alias("central"), linked.alias("linked"))
 
 
 def beside(judged: DataFrame, often: DataFrame | None, threshold: float) -> DataFrame:
-    """Buckets in which nodes compared with one centre meet again: key, node, k, central, linked and lesser.
+    """Buckets in which nodes of one group meet again: key, node, k, central, linked and cap.
 
-    The shingles that the centre hasn't are taken in order of their hashes, those that are found often last. A text
-    needs so many in common with any that is similar: more with one that is not smaller (``lesser``).
+    Own shingles are taken in order of their hashes, those that are found often last. If the first that two texts
+    share is at some place, they have no more in common than what is in the consensus and what follows: this
+    bounds the other's size by cap, and ends the list.
     """
     own = F.col("own")
     if often is not None:
-        judged = heavy_lookup(judged, often, "centre", "n")
+        judged = heavy_lookup(judged, often, "g", "n")
         own = F.when(F.col("often").isNull(), own).otherwise(F.concat(F.array_except("own", "often"), F.array_intersect("often", "own")))
-    need = lambda part: F.ceil(part * F.col("k") - 1e-9).cast("int") - F.col("i")
-    first = lambda part: F.size("own") - F.greatest(need(part) - 1, F.lit(0))
-    least = 2 * threshold / (1 + threshold)
+    part = (1 + threshold) / threshold
+    i = F.col("k") - F.size("own")
+    cap = lambda most: F.lit(part) * most - F.col("k") + 1e-6
+    last = lambda least: F.floor(F.col("k") - (F.col("k") + least) / part + 1e-6).cast("int") + 1  # noqa: E731  so many places have a cap of at least that size
+    near = cap(i) >= F.greatest(threshold * F.col("k"), F.col("kmin"))
+    room = F.col("nc") - (F.col("k") + F.greatest(threshold * F.col("k"), F.col("kmin"))) / part
+    both = F.ceil(F.size("missing") + F.col("dmin") - room - 1e-9).cast("int")  # so many missing shingles in common are needed
+    within_cap = cap(F.col("nc") - F.size("missing") - F.col("dmin"))
     cls = F.floor(F.log("k") / -F.log(F.lit(threshold)) + 1e-9).cast("long")
-    within = F.when((need(threshold) <= 0) & (F.col("k") < F.col("nc")), F.array(-1 - cls, -2 - cls)).otherwise(F.array().cast("array<long>"))
-    mine = judged.select("node", "centre", "k", "central", "linked", F.slice(own, F.lit(1), first(threshold)).alias("own"), first(least).alias("lesser"), within.alias("within"))
-    at = lambda name, lesser: mine.select("node", "k", "central", "linked", "centre", "lesser", F.posexplode(name)).select(F.xxhash64("centre", F.lit(name), "col").alias("key"), "node", "k", "central", "linked", lesser.alias("lesser"), "centre", F.col("col").alias("what"))
-    return at("own", F.col("pos") < F.col("lesser")).unionByName(at("within", F.lit(True))).drop(*(() if often is None else ("centre", "what")))
+    none = F.array().cast("array<long>")
+    mine = judged.select(
+        "node", "g", "k", "central", "linked", cap(i).alias("near_cap"), cap(F.col("k")).alias("first_cap"), within_cap.alias("within_cap"),
+        F.slice(own, F.lit(1), F.greatest(F.least(F.size("own"), last(F.greatest(threshold * F.col("k"), F.col("least")))), F.lit(0))).alias("own"),
+        F.when(near, F.slice("missing", F.lit(1), F.greatest(F.size("missing") - F.greatest(both - 1, F.lit(0)), F.lit(0)))).otherwise(none).alias("missing"),
+        F.when(near & (both <= 0), F.array(cls, cls + 1)).otherwise(none).alias("within"),
+    )
+    at = lambda name, cap: mine.select("node", "k", "central", "linked", "g", "near_cap", "first_cap", "within_cap", F.posexplode(name)).select(F.xxhash64("g", F.lit(name), "col").alias("key"), "node", "k", "central", "linked", cap.alias("cap"), "g", F.col("col").alias("what"))
+    found = at("own", F.col("first_cap") - F.lit(part) * F.col("pos"))
+    if often is None:
+        return found
+    return found.unionByName(at("missing", F.col("near_cap"))).unionByName(at("within", F.col("within_cap"))).drop("g", "what")
 
 
 def often_beside(judged: DataFrame, threshold: float) -> DataFrame:
-    """For each centre, the shingles that it hasn't and many of its bucket's members have, the most frequent last; and the number n of members."""
-    kinds = beside(judged, None, threshold).groupBy("key").agg(F.count("*").alias("size"), F.first("centre").alias("centre"), F.first("what").alias("what")).where(F.col("size") > SMALL)
-    listed = kinds.groupBy("centre").agg(F.expr("transform(sort_array(collect_list(struct(size, what))), x -> x.what)").alias("often"))
-    return listed.join(judged.groupBy("centre").agg(F.count("*").alias("n")), "centre")
+    """For each group, the shingles beside its consensus that many have, the most frequent last; and the number n of members."""
+    kinds = beside(judged, None, threshold).groupBy("key").agg(F.count("*").alias("size"), F.first("g").alias("g"), F.first("what").alias("what")).where(F.col("size") > SMALL)
+    listed = kinds.groupBy("g").agg(F.expr("transform(sort_array(collect_list(struct(size, what))), x -> x.what)").alias("often"))
+    return listed.join(judged.groupBy("g").agg(F.count("*").alias("n")), "g")
 
 
 def is_link(threshold: float) -> F.Column:
