@@ -8,6 +8,7 @@ import time
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -87,6 +88,24 @@ def heavy_lookup(rows: DataFrame, facts: DataFrame, key: str, weight: str, share
     return there.unionByName(rest)
 
 
+def sifted(rows: DataFrame, keys: DataFrame, key: str, most_bits: int = 1 << 26) -> DataFrame:
+    """rows without most of those whose key is not among keys, so that an exact semi join after it shuffles less.
+
+    A table of one bit for each hash is broadcast: 16 bits a key, ``most_bits`` (8 MB) at most. Beyond that it
+    lets more rows pass, and in the end all.
+    """
+    spark = rows.sparkSession
+    bits = min(most_bits, max(1 << 16, 1 << (16 * keys.count()).bit_length()))
+    at = F.pmod(F.xxhash64(key), F.lit(bits))
+    words = keys.select(at.alias("at")).groupBy(F.expr("shiftright(at, 6)").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("b")).toPandas()
+    dense = np.zeros(bits // 64, np.int64)
+    dense[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)
+    schema = T.StructType([T.StructField("_sieve", T.ArrayType(T.LongType(), False))])
+    sieve = spark.createDataFrame(pa.table({"_sieve": pa.array([dense])}), schema)
+    there = F.expr("bit_get(element_at(_sieve, cast(shiftright(_at, 6) as int) + 1), cast(_at & 63 as int)) = 1")
+    return rows.withColumn("_at", at).join(F.broadcast(sieve), there, "left_semi").drop("_at")
+
+
 def literal_table(spark: SparkSession, rows: list[tuple], schema: dict[str, str]) -> DataFrame:
     """A few rows as literals of the plan."""
     if not rows:

@@ -50,7 +50,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import dropped, heavy_lookup, map_texts, stored, table
+from .common import dropped, heavy_lookup, map_texts, sifted, stored, table
 
 SHINGLE, BANDS, ROWS, THRESHOLD, SMALL, PIECE = 5, 25, 5, 0.8, 16, 3_000_000
 #: Buckets of later rounds, in which few texts are left, that are compared in all pairs.
@@ -173,6 +173,7 @@ def node() -> F.Column:
 def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """node and its sorted shingle hashes, for the given nodes (node, first_id), read from one row of each."""
     rows = docs.where("text is not null").select(node().alias("node"), F.col("doc_id").alias("first_id"), "text")
+    rows = sifted(rows, nodes, "node")
     one = rows.join(nodes, (rows["node"] == nodes["node"]) & rows["first_id"].eqNullSafe(nodes["first_id"]), "left_semi").select("node", "text")
 
     def make():

@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 from loamline.llm import near_dedup as nd
-from loamline.llm.common import stored
+from loamline.llm.common import sifted, stored
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -149,3 +149,12 @@ def test_texts_that_repeat_passages_share_bands_with_copies_that_do_not():
             one, two = ({(i % nd.BANDS, v) for i, v in enumerate(bands) if v is not None} for bands in nd.bands_of([a, b])[0])
             missed += not one & two
         assert missed == 0
+
+
+def test_sifting_keeps_all_that_may_join(spark):
+    keys = spark.range(0, 3000, 7).selectExpr("unhex(sha1(cast(id as string))) AS k")
+    rows = spark.range(3000).selectExpr("id", "unhex(sha1(cast(id as string))) AS k")
+    got = {r["id"] for r in sifted(rows, keys, "k").collect()}
+    assert set(range(0, 3000, 7)) <= got and len(got) < 700
+    assert sifted(rows, keys, "k", 64).count() >= 429
+    assert sifted(rows, keys.limit(0), "k").count() == 0
