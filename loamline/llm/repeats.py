@@ -206,68 +206,84 @@ def by_part(e: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
 # --- suffix arrays ---------------------------------------------------------
 
 
-def suffix_array(symbols: np.ndarray) -> np.ndarray:
-    """Of symbols that make every suffix differ, by doubling."""
-    n, step = len(symbols), 1
-    key = symbols.astype(np.int64)
+#: No UTF-8 text has this byte. A string that holds it is not looked for, so ends need not differ.
+END = 0xFF
+
+
+def suffix_array(buf: np.ndarray, least: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """The places of buf in order of their first ``least`` bytes or more, and how many bytes each shares with the one before it: 0 to 7, or 8 for more.
+
+    Begins with eight bytes, packed into one number, and doubles. Nothing is told from what comes after ``least``.
+    """
+    n, step = len(buf), 8
+    packed_ = np.frombuffer(buf.tobytes() + bytes([END]) * 8, np.uint8).astype(np.uint64)
+    key = np.zeros(n, np.uint64)
+    for k in range(8):
+        key = key << np.uint64(8) | packed_[k : k + n]
+    order = np.argsort(key)
+    in_order = key[order]
+    differ = in_order[1:] ^ in_order[:-1]
+    same = np.full(n, 8, np.int8)
+    same[:1] = 0
+    for k in range(8):
+        same[1:] -= differ >= np.uint64(1 << 8 * k)
+    new = np.concatenate([[False], differ != 0])
     while True:
-        order = np.argsort(key, kind="stable")
-        in_order = key[order]
-        number = np.concatenate([[0], np.cumsum(in_order[1:] != in_order[:-1])])
-        if number[-1] == n - 1:
-            return order
+        number = np.cumsum(new, dtype=np.int64)
+        if step >= least or n == 0 or number[-1] == n - 1:
+            return order, same
         rank = np.empty(n, np.int64)
         rank[order] = number
         key = rank * (n + 1)
-        key[: n - step] += rank[step:] + 1
+        key[: max(n - step, 0)] += rank[step:] + 1
+        order = np.argsort(key)
+        in_order = key[order]
+        new = np.concatenate([[False], in_order[1:] != in_order[:-1]])
         step *= 2
 
 
-def shared_prefixes(symbols: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
-    """For each suffix in order: does it share ``least`` symbols with the one before it?"""
-    n = len(symbols)
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
-    # The transform in reverse: where each suffix's next one stands.
-    nxt = place[np.minimum(order + 1, n - 1)]
-    boundary = np.full(n, least, np.int16)
-    boundary[0] = 0
-    boundary[1:][symbols[order[1:]] != symbols[order[:-1]]] = 0
+def shared_prefixes(order: np.ndarray, same: np.ndarray, least: int) -> np.ndarray:
+    """For each suffix in order: does it share ``least`` symbols with the one before it? Given are lengths to 7."""
+    n = len(order)
+    place = np.empty(n, np.int32)
+    place[order] = np.arange(n, dtype=np.int32)
+    boundary = np.where(same < 8, same, least).astype(np.int16)
+    np.minimum(boundary, least, out=boundary)
     open_ = np.nonzero(boundary == least)[0]
-    for size in range(least - 1):
+    # The transform in reverse: where each suffix's next one stands.
+    following = lambda at: place[np.minimum(order[at] + 1, n - 1)]
+    here, before = following(open_), following(open_ - 1)
+    for size in range(7, least - 1):
         if not len(open_):
             break
-        seen = np.cumsum(boundary == size)
+        seen = np.cumsum(boundary == size, dtype=np.int32)
         # Stepping back one symbol: a boundary between the next suffixes is one here, a symbol later.
-        hit = seen[nxt[open_]] > seen[nxt[open_ - 1]]
+        hit = seen[here] > seen[before]
         boundary[open_[hit]] = size + 1
-        open_ = open_[~hit]
+        stay = ~hit
+        open_, here, before = open_[stay], here[stay], before[stay]
     return boundary == least
 
 
-def repeated(parts: list[bytes], doc: np.ndarray, least: int = LENGTH) -> list[list[tuple[int, int]]]:
-    """For each part, the runs covered by strings of ``least`` bytes that a part of a smaller document has."""
+def repeated(parts: list[bytes], doc: np.ndarray, least: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Part, start and end of the runs covered by strings of ``least`` bytes that a part of a smaller document has."""
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
     ends = np.cumsum(sizes + 1) - 1
-    symbols = np.frombuffer(b"\0".join([*parts, b""]), np.uint8).astype(np.int64) + len(parts)
-    symbols[ends] = np.arange(len(parts))  # every end differs
+    end = bytes([END])
+    buf = np.frombuffer(end.join([*parts, b""]), np.uint8)
     owner = np.repeat(np.arange(len(parts)), sizes + 1)
-    order = suffix_array(symbols)
-    first = ~shared_prefixes(symbols, order, least)
+    order, same = suffix_array(buf, least)
+    first = ~shared_prefixes(order, same, least)
     at = np.nonzero(first)[0]
-    small = np.repeat(np.minimum.reduceat(doc[owner[order]], at), np.diff(np.append(at, len(order))))
-    gone = np.zeros(len(symbols), bool)
-    gone[order] = (doc[owner[order]] > small) & (ends[owner[order]] - order >= least)
-    out: list[list[tuple[int, int]]] = [[] for _ in parts]
-    begin = ends - sizes
-    for p in np.nonzero(gone)[0].tolist():
-        o = owner[p]
-        a = int(p - begin[o])
-        if out[o] and a <= out[o][-1][1]:
-            out[o][-1] = (out[o][-1][0], a + least)
-        else:
-            out[o].append((a, a + least))
-    return out
+    mine = owner[order]
+    small = np.repeat(np.minimum.reduceat(doc[mine], at), np.diff(np.append(at, len(order))))
+    gone = order[(doc[mine] > small) & (ends[mine] - order >= least)]
+    # An end is never covered, so runs of two parts don't touch.
+    cover = np.bincount(gone, minlength=len(buf) + 1) - np.bincount(gone + least, minlength=len(buf) + 1)
+    covered = np.concatenate([[False], np.cumsum(cover)[: len(buf)] > 0, [False]])
+    a, z = np.nonzero(covered[1:] & ~covered[:-1])[0], np.nonzero(covered[:-1] & ~covered[1:])[0]
+    begin = (ends - sizes)[owner[a]]
+    return owner[a], a - begin, z - begin
 
 
 def beside(raw: bytes, h: int, length: int = LENGTH, anchor: int = ANCHOR) -> Iterator[tuple[int, int, bytes]]:
@@ -314,21 +330,37 @@ def compared(docs: DataFrame, open_: DataFrame, parts: int) -> DataFrame:
         held: list[tuple] = []
         size = 0
 
-        def out() -> pa.RecordBatch:
-            doc = np.array([r[0] for r in held], np.int64)
-            rows = [(0, r[0], r[1], r[3] + a, z - a, 0) for r, runs in zip(held, repeated([r[4] for r in held], doc), strict=True) for a, z in runs]
-            cols = list(zip(*rows, strict=True)) if rows else [()] * 6
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()), strict=True)], names=["kind", "doc", "key", "at", "size", "h"])
+        def out() -> Iterator[pa.RecordBatch]:
+            # Equal segments of one anchor are one part, that of the smallest document, which comes first. In the others
+            # every string starts in that document too.
+            parts: dict[tuple[int, bytes], int] = {}
+            part = np.array([parts.setdefault((r[2], r[4]), len(parts)) for r in held], np.int64)
+            doc, key, at, size = (np.array([f(r) for r in held], np.int64) for f in (lambda r: r[0], lambda r: r[1], lambda r: r[3], lambda r: len(r[4])))
+            first = np.full(len(parts), LAST, np.int64)
+            np.minimum.at(first, part, doc)
+            copy = doc > first[part]
+            p, a, z = repeated([b for _, b in parts], first)
+            of = np.nonzero(~copy)[0]
+            of = of[np.argsort(part[of], kind="stable")]
+            lo, hi = np.searchsorted(part[of], p, "left"), np.searchsorted(part[of], p, "right")
+            n = hi - lo
+            row = of[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+            a, z = np.repeat(a, n), np.repeat(z, n)
+            whole = np.nonzero(copy)[0]
+            row, a, z = np.concatenate([row, whole]), np.concatenate([a, np.zeros(len(whole), np.int64)]), np.concatenate([z, size[whole]])
+            cols = (np.zeros(len(row), np.int32), doc[row], key[row], at[row] + a, z - a, np.zeros(len(row), np.int64))
+            for k in range(0, len(row), 200_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c[k : k + 200_000], t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()), strict=True)], names=["kind", "doc", "key", "at", "size", "h"])
 
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if size > CHUNK and row[2] != held[-1][2]:
-                    yield out()
+                    yield from out()
                     held, size = [], 0
                 held.append(row)
                 size += len(row[4])
         if held:
-            yield out()
+            yield from out()
 
     pieces_ = docs.join(lists, ["doc", "key"]).select("doc", "key", "found", "text").mapInArrow(fetch, "doc long, key int, h long, at int, bytes binary")
     return pieces_.repartition(parts, "h").sortWithinPartitions("h", "doc", "at").mapInArrow(search, RUNS)
@@ -338,7 +370,7 @@ def without_repeats(docs: DataFrame, clean: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row; and, if clean, kept (binary)."""
     spark = docs.sparkSession
     node = F.sha1(F.coalesce(F.col("text").cast("binary"), F.lit(b"")))
-    keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.conv(F.substring(node, 1, 15), 16, 10).cast("long").alias("same"), F.conv(F.substring(node, 16, 7), 16, 10).cast("int").alias("key"), "text")
+    keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.unhex(node).alias("same"), F.conv(F.substring(node, 16, 7), 16, 10).cast("int").alias("key"), "text")
     total = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
     copies, _ = stored(keyed.groupBy("same").agg(F.min("doc").alias("least"), F.count("*").alias("n")).where("n > 1"), "copies")

@@ -55,13 +55,37 @@ def test_frequent_anchors_are_split_and_give_the_same(spark, monkeypatch):
 def test_shared_prefixes_against_sorting():
     g = np.random.default_rng(2)
     for n in (1, 2, 30, 300):
-        symbols = np.concatenate([g.integers(1, 3, n), [0]])
-        order = r.suffix_array(symbols)
-        suffixes = [tuple(symbols[i:]) for i in order]
-        assert suffixes == sorted(suffixes)
-        for least in (1, 2, 5):
-            want = [False] + [len(a) >= least and a[:least] == b[:least] for a, b in zip(suffixes, suffixes[1:], strict=False)]
-            assert list(r.shared_prefixes(symbols, order, least)) == want
+        for kinds in (1, 2, 3):
+            buf = np.concatenate([g.integers(97, 97 + kinds, n, dtype=np.uint8), [r.END]]).astype(np.uint8)
+            for least in (9, 20, 50):
+                order, same = r.suffix_array(buf, least)
+                assert sorted(order.tolist()) == list(range(len(buf)))
+                first = [bytes(buf[i : i + least]).ljust(least, b"\xff") for i in order]
+                assert first == sorted(first)
+                want = [False] + [a == b for a, b in zip(first, first[1:], strict=False)]
+                ends = [bytes(buf[i:]) for i in order]  # strings that go over the end are not looked for
+                got = r.shared_prefixes(order, same, least)
+                assert all(x == y for x, y, e, f in zip(want[1:], got[1:], ends, ends[1:], strict=False) if len(e) > least and len(f) > least) and not got[0]
+
+
+def test_repeated_against_brute_force():
+    g = random.Random(3)
+    for _ in range(20):
+        parts = ["".join(g.choice("ab") for _ in range(g.randrange(80))).encode() for _ in range(30)]
+        doc = np.array([g.randrange(12) for _ in parts])
+        want = []
+        for p, b in enumerate(parts):
+            gone = [False] * len(b)
+            for i in range(len(b) - 9):
+                if any(doc[q] < doc[p] and b[i : i + 10] in c for q, c in enumerate(parts)):
+                    gone[i : i + 10] = [True] * 10
+            for i, x in enumerate(gone):
+                if x and (i == 0 or not gone[i - 1]):
+                    z = i
+                    while z < len(b) and gone[z]:
+                        z += 1
+                    want.append((p, i, z))
+        assert list(zip(*(x.tolist() for x in r.repeated(parts, doc, 10)), strict=True)) == want
 
 
 def test_empty(spark):
