@@ -55,13 +55,15 @@ class Automaton:
             state = 0
             for w in words:
                 state = self.next[state][w]
-                held.setdefault(state, set())
-                if name is not None:
-                    held[state].add(name)
+                # Only strings of a window or more are asked for their items.
+                if self.length[state] >= window:
+                    held.setdefault(state, set())
+                    if name is not None:
+                        held[state].add(name)
             if 0 < len(words) < window:
                 whole.setdefault(state, set()).add(len(words))
         for s in sorted(range(1, len(self.length)), key=self.length.__getitem__, reverse=True):
-            if s in held and self.link[s] > 0:
+            if s in held and self.length[self.link[s]] >= window:
                 held.setdefault(self.link[s], set()).update(held[s])
         # What a match that ends in a state can contain: the state of its last `window` words, and short items.
         self.long: list[int] = [0] * len(self.length)
@@ -174,21 +176,28 @@ def automata(spark: SparkSession, benchmark: DataFrame, window: int = WINDOW, bl
 OUT = {"n_words": "long", "n_hit": "long", "n_items": "long", "items_sha256": "string", "contaminated": "boolean"}
 
 
-def matched(docs: DataFrame, benchmark: DataFrame, clean: bool = False, coverage: int = COVERAGE) -> DataFrame:
-    """docs with, instead of the text, n_words, n_hit, n_items, items_sha256, contaminated; and, if clean, clean_text without hit spans."""
-    found = list(automata(docs.sparkSession, benchmark))
+def matched(docs: DataFrame, benchmark: DataFrame, clean: bool = False, coverage: int = COVERAGE, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """docs with, instead of the text, n_words, n_hit, n_items, items_sha256, contaminated; and, if clean, clean_text without hit spans.
+
+    Of several automata a worker holds one at a time: each is read from the broadcast's file, goes over a batch of
+    texts, and gives way to the next.
+    """
+    found = list(automata(docs.sparkSession, benchmark, block_words=block_words))
 
     def make():
-        own = [b.value for b in found]
+        own = found[0].value if len(found) == 1 else None
 
         def of(texts: list) -> list:
-            out = []
-            for text in texts:
-                words = words_of(text)
-                spans, items = [], set()
-                for a in own:
+            out, every = [], [words_of(text) for text in texts]
+            hits: list[tuple[list, set]] = [([], set())] * len(every)
+            for block in found:
+                a = own or block.load_from_path(block._path)
+                for k, words in enumerate(every):
                     s, i = a.match(words)
-                    spans, items = united(spans + s), items | i
+                    if s:
+                        hits[k] = (united(hits[k][0] + s), hits[k][1] | i)
+                del a
+            for text, words, (spans, items) in zip(texts, every, hits, strict=True):
                 hit = sum(b - a for a, b in spans)
                 row = (len(words), hit, len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), hit > 0 and coverage * hit >= len(words))
                 out.append((*row, without(text, spans)) if clean else row)
@@ -196,7 +205,7 @@ def matched(docs: DataFrame, benchmark: DataFrame, clean: bool = False, coverage
 
         return of
 
-    return map_texts(docs, make, OUT | ({"clean_text": "string"} if clean else {}), MATCH_BYTES)
+    return map_texts(docs, make, OUT | ({"clean_text": "string"} if clean else {}), MATCH_BYTES if len(found) == 1 else 16 * MATCH_BYTES)
 
 
 def without(text: str | None, spans: list[tuple[int, int]]) -> str | None:

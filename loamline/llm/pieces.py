@@ -21,7 +21,9 @@ the library. Repeats and other columns don't matter.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import heapq
 import re
 import struct
 from collections.abc import Iterator
@@ -36,6 +38,8 @@ from .common import map_texts, table
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 BATCH_BYTES, REMEMBERED, INDEX_CHARS = 3_000_000, 600_000, 600_000
+#: Units of more symbols are relaxed by a heap, the others all at once.
+LONG_UNIT = 256
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -174,6 +178,15 @@ class Encoder:
 
         piece, rank = merged(np.arange(len(start)), start, size, owner)
         done_start, done_id = [], []
+        length = np.bincount(owner) if len(owner) else np.zeros(0, np.int64)
+        if len(length) and length.max() > LONG_UNIT:
+            far = length[owner] > LONG_UNIT
+            for u in np.nonzero(length > LONG_UNIT)[0].tolist():
+                a, z = np.searchsorted(owner, [u, u + 1])
+                s, i = self._by_heap(keys, ids, start[a:z], sid[a:z], piece[a:z], rank[a:z])
+                done_start.append(s)
+                done_id.append(i)
+            start, sid, size, owner, piece, rank = (x[~far] for x in (start, sid, size, owner, piece, rank))
         while len(start):
             first = np.nonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))[0]
             least = np.minimum.reduceat(rank, first)
@@ -205,6 +218,39 @@ class Encoder:
         order = np.argsort(s, kind="stable")
         return s[order], i[order]
 
+    def _by_heap(self, keys: np.ndarray, ids: np.ndarray, start: np.ndarray, sid: np.ndarray, piece: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``relax`` for one long unit: a heap of pairs by rank and place, and linked neighbours, so time is near to linear."""
+        n, edge, ranks, most = len(start), memoryview(keys), self.rank, self.most
+        good = np.nonzero(piece >= 0)[0]
+        heap = list(zip(rank[good].tolist(), good.tolist(), [2] * len(good), piece[good].tolist(), strict=True))
+        heapq.heapify(heap)
+        at, own, size = start.tolist(), sid.tolist(), [1] * n
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        gone = bytearray(n)
+
+        def push(i: int) -> None:
+            j = after[i]
+            if j < n and (total := size[i] + size[j]) <= most:
+                key = at[i] * 64 + total
+                k = bisect.bisect_left(edge, key)
+                if k < len(edge) and edge[k] == key:
+                    p = int(ids[k])
+                    heapq.heappush(heap, (int(ranks[p]), i, total, p))
+
+        while heap:
+            _, i, total, p = heapq.heappop(heap)
+            if gone[i] or (j := after[i]) >= n or size[i] + size[j] != total:
+                continue
+            own[i], size[i], after[i] = p, total, after[j]
+            gone[j] = 1
+            if after[i] < n:
+                before[after[i]] = i
+                push(i)
+            if before[i] >= 0:
+                push(before[i])
+        left = np.frombuffer(gone, np.uint8) == 0
+        return start[left], np.array(own, np.int64)[left]
+
     def learn(self, units: list[str]) -> None:
         """Remembers the ids of units that aren't known yet."""
         some: list[str] = []

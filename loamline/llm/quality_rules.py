@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, whole_rows
 
 #: Labelled rows to learn from: those with the smallest hash of their id.
 SAMPLE_ROWS = 4000
@@ -159,14 +159,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> D
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs with stats and kept."""
-    return with_stats(docs).withColumn("kept", ~F.col("stats.base_failed") & fit(docs, labels).verdict())
+    """The rows of docs as ``_row``, their stats and whether they are kept."""
+    return with_stats(whole_rows(docs)).drop("text").withColumn("kept", ~F.col("stats.base_failed") & fit(docs, labels).verdict())
 
 
 def kept_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return judged(docs, labels).where("kept").drop("kept", "stats")
+    """The rows that are kept, with all columns of docs, whatever their names."""
+    return judged(docs, labels).where("kept").select(*(F.col("_row").getField(c).alias(c) for c in docs.columns))
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return judged(docs, table(spark, sf_dir, "labels")).select("doc_id", *(f"stats.{s}" for s in STATS), "stats.base_failed", "kept")
+    return judged(docs, table(spark, sf_dir, "labels")).select("_row.doc_id", *(f"stats.{s}" for s in STATS), "stats.base_failed", "kept")

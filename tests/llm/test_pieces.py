@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from loamline.llm import pieces as p
@@ -22,6 +23,21 @@ def test_ids_equal_the_library_and_come_back():
     assert e.encode([None]) == [None] and e.decode(None) is None
 
 
+def test_long_units_take_time_near_to_linear():
+    library = sentencepiece.SentencePieceProcessor(model_file=p.VOCABULARY)
+    with open(p.VOCABULARY, "rb") as f:
+        e = p.Encoder(p.Vocabulary.read(f.read()))
+    r = random.Random(2)
+    for n in (200, 300, 3000, 20_000):
+        for kinds in ("=", "ab", "etaoinshr", "漢字语a", "0123456789abcdefghijklmnopqrstuvwxyzABC+/"):
+            t = "".join(r.choice(kinds) for _ in range(n))
+            assert list(e.encode([t])[0]) == library.encode(t), (n, kinds)
+    t = "".join(r.choice("etaoinshrdlu") for _ in range(1_000_000))
+    began = time.time()
+    got = e.encode([t])[0]
+    assert time.time() - began < 60 and e.decode(got) == t
+
+
 def test_forgetting_changes_nothing(monkeypatch):
     with open(p.VOCABULARY, "rb") as f:
         data = f.read()

@@ -46,3 +46,11 @@ def test_empty_tables_and_repeats(spark):
     docs = spark.createDataFrame([(1, "w " * 60), (1, "w " * 60), (None, None)], "doc_id long, text string")
     assert q.judged(docs, labels).where("not kept").count() == 3
     assert q.learn([]).rules == []
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = [(1, "w " * 20, 1, "k", "x", "r"), (2, " ".join(f"word{i}" for i in range(80)), 2, "k", "x", "r"), (None, None, 3, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, stats int, kept string, _words string, _row string")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    kept = q.kept_rows(docs, labels)
+    assert kept.columns == docs.columns and list(map(tuple, kept.collect())) == rows[1:2]
