@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import tempfile
 import time
@@ -130,6 +132,14 @@ def pieces(batches: Iterator[pa.RecordBatch], most_bytes: int, text: str = "text
             yield batch.slice(start)
 
 
+def trimmed() -> None:
+    """Gives what a finished task used back to the system: a worker lives on and serves other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every libc can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_texts(docs: DataFrame, make: Callable[[], Callable[[list], list[Sequence]]], out: dict[str, str], most_bytes: int, text: str = "text") -> DataFrame:
     """docs without the text, and the columns ``out`` that make()(texts) gives. Names must not clash."""
     others = [c for c in docs.columns if c != text]
@@ -141,6 +151,8 @@ def map_texts(docs: DataFrame, make: Callable[[], Callable[[list], list[Sequence
             made = of(b.column(b.schema.get_field_index(text)).to_pylist())
             cols = [b.column(b.schema.get_field_index(c)) for c in others] + [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, types, strict=True)]
             yield pa.RecordBatch.from_arrays(cols, names=[*others, *out])
+        del of
+        trimmed()
 
     schema = T.StructType([*(docs.schema[c] for c in others), *T.StructType.fromDDL(", ".join(f"{c} {t}" for c, t in out.items())).fields])
     return docs.select(*(f"`{c}`" for c in others), text).mapInArrow(run, schema)

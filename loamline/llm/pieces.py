@@ -37,7 +37,7 @@ from .common import map_texts, table
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-BATCH_BYTES, REMEMBERED, INDEX_CHARS = 3_000_000, 600_000, 600_000
+BATCH_BYTES, REMEMBERED, INDEX_CHARS = 3_000_000, 500_000, 200_000
 #: Units of more symbols are relaxed by a heap, the others all at once.
 LONG_UNIT = 256
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
