@@ -90,7 +90,7 @@ def heavy_lookup(rows: DataFrame, facts: DataFrame, key: str, weight: str, share
     return there.unionByName(rest)
 
 
-def sifted(rows: DataFrame, keys: DataFrame, key: str, most_bits: int = 1 << 26) -> DataFrame:
+def sifted(rows: DataFrame, keys: DataFrame, key: str | list[str], most_bits: int = 1 << 26) -> DataFrame:
     """rows without most of those whose key is not among keys, so that an exact semi join after it shuffles less.
 
     A table of one bit for each hash is broadcast: 16 bits a key, ``most_bits`` (8 MB) at most. Beyond that it
@@ -98,7 +98,7 @@ def sifted(rows: DataFrame, keys: DataFrame, key: str, most_bits: int = 1 << 26)
     """
     spark = rows.sparkSession
     bits = min(most_bits, max(1 << 16, 1 << (16 * keys.count()).bit_length()))
-    at = F.pmod(F.xxhash64(key), F.lit(bits))
+    at = F.pmod(F.xxhash64(*([key] if isinstance(key, str) else key)), F.lit(bits))
     words = keys.select(at.alias("at")).groupBy(F.expr("shiftright(at, 6)").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("b")).toPandas()
     dense = np.zeros(bits // 64, np.int64)
     dense[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import heavy_lookup, pieces, released, stored, table
+from .common import heavy_lookup, pieces, released, sifted, stored, table
 
 LENGTH, ANCHOR, PIECE, CHUNK = 50, 24, 2_000_000, 1_500_000
 #: An anchor with more open segments than this is dealt by what stands beside it.
@@ -362,7 +362,8 @@ def compared(docs: DataFrame, open_: DataFrame, parts: int) -> DataFrame:
         if held:
             yield from out()
 
-    pieces_ = docs.join(lists, ["doc", "key"]).select("doc", "key", "found", "text").mapInArrow(fetch, "doc long, key int, h long, at int, bytes binary")
+    some = sifted(docs, open_.select("doc", "key").distinct(), ["doc", "key"])
+    pieces_ = some.join(lists, ["doc", "key"]).select("doc", "key", "found", "text").mapInArrow(fetch, "doc long, key int, h long, at int, bytes binary")
     return pieces_.repartition(parts, "h").sortWithinPartitions("h", "doc", "at").mapInArrow(search, RUNS)
 
 
@@ -373,14 +374,16 @@ def without_repeats(docs: DataFrame, clean: bool = False) -> DataFrame:
     keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.unhex(node).alias("same"), F.conv(F.substring(node, 16, 7), 16, 10).cast("int").alias("key"), "text")
     total = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
-    copies, _ = stored(keyed.groupBy("same").agg(F.min("doc").alias("least"), F.count("*").alias("n")).where("n > 1"), "copies")
+    narrow = keyed.select("doc", "key", "same", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
+    copies, _ = stored(narrow.groupBy("same").agg(F.min("doc").alias("least"), F.count("*").alias("n")).where("n > 1"), "copies")
     runs, _ = stored(gone_and_open(keyed.select("doc", "key", "text"), parts), "runs")
     released(spark)
     more, _ = stored(compared(keyed.select("doc", "key", "text"), runs.where("kind > 0"), parts), "more-runs")
     released(spark)
-    every = runs.where("kind = 0").unionByName(more).groupBy("doc", "key").agg(F.collect_list(F.struct("at", "size")).alias("runs"))
-    marked = heavy_lookup(keyed, copies, "same", "n").withColumn("copy", F.coalesce(F.col("doc") > F.col("least"), F.lit(False)))
-    work = marked.where("not copy").select("doc_id", "doc", "key", "text").join(every, ["doc", "key"], "left").select("doc_id", "runs", "text")
+    # A text that is equal to one of a smaller id is one run.
+    whole = heavy_lookup(narrow.where(F.col("size") >= LENGTH), copies, "same", "n").where("doc > least").select("doc", "key", F.lit(0).alias("at"), "size")
+    every = runs.where("kind = 0").unionByName(more).select("doc", "key", "at", "size").unionByName(whole).groupBy("doc", "key").agg(F.collect_list(F.struct("at", "size")).alias("runs"))
+    work = keyed.select("doc_id", "doc", "key", "text").join(every, ["doc", "key"], "left").select("doc_id", "runs", "text")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, PIECE):
@@ -399,13 +402,7 @@ def without_repeats(docs: DataFrame, clean: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     done = work.mapInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    n = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    whole = n >= LENGTH
-    binary = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
-    left = F.when(whole, F.lit(b"")).otherwise(binary)
-    gone = marked.where("copy").select("doc_id", n.alias("n_bytes"), F.when(whole, n).otherwise(F.lit(0)).cast("long").alias("n_removed"), whole.cast("long").alias("n_spans"), F.sha2(left, 256).alias("kept_sha256"), left.alias("kept"))
-    out = done.unionByName(gone)
-    return out if clean else out.drop("kept")
+    return done if clean else done.drop("kept")
 
 
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
