@@ -35,9 +35,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import heavy_lookup, pieces, released, sifted, stored, table
+from .common import heavy_lookup, pieces, released, sifted, stored, table, trimmed
 
-LENGTH, ANCHOR, PIECE, CHUNK = 50, 24, 2_000_000, 1_500_000
+LENGTH, ANCHOR, PIECE, CHUNK = 50, 24, 1_000_000, 1_000_000
 #: An anchor with more open segments than this is dealt by what stands beside it.
 HOT = 256
 #: Bytes of text for each part that anchors are dealt to.
@@ -152,11 +152,13 @@ def gone_and_open(docs: DataFrame, parts: int) -> DataFrame:
             e["h"], e["s"], e["doc"], e["key"], e["at"], e["size"] = h & np.uint64(0xFFFFFFFF), s, ids[d], keys[d], at, n
             held.append(e)
             size += len(e)
-            if size > 1_500_000:
+            if size > 1_000_000:
                 yield from out()
                 held, size = [], 0
         if size:
             yield from out()
+        held.clear()
+        trimmed()
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of: dict[int, list[np.ndarray]] = {}
@@ -183,6 +185,7 @@ def gone_and_open(docs: DataFrame, parts: int) -> DataFrame:
             for kind, some in ((1, (kinds > 1) & (kinds <= HOT)), (2, kinds > HOT)):
                 if some.any():
                     yield from (run_rows(kind, x) for x in cut(e[some]))
+        trimmed()
 
     dealt = docs.select("doc", "key", "text").mapInArrow(deal, "part int, kind int, entries binary")
     return dealt.repartition(parts, "part").mapInArrow(settle, RUNS)
@@ -361,6 +364,8 @@ def compared(docs: DataFrame, open_: DataFrame, parts: int) -> DataFrame:
                 size += len(row[4])
         if held:
             yield from out()
+        held.clear()
+        trimmed()
 
     some = sifted(docs, open_.select("doc", "key").distinct(), ["doc", "key"])
     pieces_ = some.join(lists, ["doc", "key"]).select("doc", "key", "found", "text").mapInArrow(fetch, "doc long, key int, h long, at int, bytes binary")
