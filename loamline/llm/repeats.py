@@ -323,10 +323,17 @@ def compared(docs: DataFrame, open_: DataFrame, parts: int) -> DataFrame:
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 for f in found:
                     part = raw[f["at"] : f["at"] + f["size"]]
-                    rows += [(doc, key, f["h"], f["at"], part)] if f["kind"] == 1 else [(doc, key, k, f["at"] + a, x) for k, a, x in beside(part, f["h"])]
+                    if f["kind"] == 1:
+                        rows.append((doc, key, f["h"], [f["at"]], part))
+                        continue
+                    # A text that repeats itself has the same piece again and again: one row for all its places.
+                    places: dict[tuple[int, bytes], list[int]] = {}
+                    for k, at, x in beside(part, f["h"]):
+                        places.setdefault((k, x), []).append(f["at"] + at)
+                    rows += [(doc, key, k, ats, x) for (k, x), ats in places.items()]
             for k in range(0, len(rows), 100_000):
                 cols = list(zip(*rows[k : k + 100_000], strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["doc", "key", "h", "at", "bytes"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.binary()), strict=True)], names=["doc", "key", "h", "at", "bytes"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come in order of h; a chunk holds whole anchors."""
@@ -338,7 +345,8 @@ def compared(docs: DataFrame, open_: DataFrame, parts: int) -> DataFrame:
             # every string starts in that document too.
             parts: dict[tuple[int, bytes], int] = {}
             part = np.array([parts.setdefault((r[2], r[4]), len(parts)) for r in held], np.int64)
-            doc, key, at, size = (np.array([f(r) for r in held], np.int64) for f in (lambda r: r[0], lambda r: r[1], lambda r: r[3], lambda r: len(r[4])))
+            doc, key, places, size = (np.array([f(r) for r in held], np.int64) for f in (lambda r: r[0], lambda r: r[1], lambda r: len(r[3]), lambda r: len(r[4])))
+            at, begin = np.array([x for r in held for x in r[3]], np.int64), np.cumsum(places) - places
             first = np.full(len(parts), LAST, np.int64)
             np.minimum.at(first, part, doc)
             copy = doc > first[part]
@@ -351,7 +359,10 @@ def compared(docs: DataFrame, open_: DataFrame, parts: int) -> DataFrame:
             a, z = np.repeat(a, n), np.repeat(z, n)
             whole = np.nonzero(copy)[0]
             row, a, z = np.concatenate([row, whole]), np.concatenate([a, np.zeros(len(whole), np.int64)]), np.concatenate([z, size[whole]])
-            cols = (np.zeros(len(row), np.int32), doc[row], key[row], at[row] + a, z - a, np.zeros(len(row), np.int64))
+            n = places[row]
+            of = np.repeat(begin[row], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            row, a, z, at = np.repeat(row, n), np.repeat(a, n), np.repeat(z, n), at[of]
+            cols = (np.zeros(len(row), np.int32), doc[row], key[row], at + a, z - a, np.zeros(len(row), np.int64))
             for k in range(0, len(row), 200_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c[k : k + 200_000], t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()), strict=True)], names=["kind", "doc", "key", "at", "size", "h"])
 
@@ -368,7 +379,7 @@ def compared(docs: DataFrame, open_: DataFrame, parts: int) -> DataFrame:
         trimmed()
 
     some = sifted(docs, open_.select("doc", "key").distinct(), ["doc", "key"])
-    pieces_ = some.join(lists, ["doc", "key"]).select("doc", "key", "found", "text").mapInArrow(fetch, "doc long, key int, h long, at int, bytes binary")
+    pieces_ = some.join(lists, ["doc", "key"]).select("doc", "key", "found", "text").mapInArrow(fetch, "doc long, key int, h long, at array<int>, bytes binary")
     return pieces_.repartition(parts, "h").sortWithinPartitions("h", "doc", "at").mapInArrow(search, RUNS)
 
 
