@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 
 from .common import dropped, heavy_lookup, map_texts, sifted, stored, table
 
-SHINGLE, BANDS, ROWS, THRESHOLD, SMALL, PIECE = 5, 25, 5, 0.8, 16, 3_000_000
+SHINGLE, BANDS, ROWS, THRESHOLD, SMALL, PIECE = 5, 25, 5, 0.8, 16, 1_000_000
 #: Buckets of later rounds, in which few texts are left, that are compared in all pairs.
 LATER = 64
 #: If so many nodes of a larger one do not link with the centre, they are compared with all.
