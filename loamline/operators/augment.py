@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
-from .refine import DECLARATION, symbol_kind
+from .gate import any_of
+from .refine import DECLARATION, matches, symbol_kind, test_rows
 
 # Texts that decide results.
 PLACEHOLDER, DEFAULT_NAMESPACE = "<source_file>", "Drupal\\Custom"
+CODE_SUFFIXES = [".php", ".module", ".inc", ".install", ".theme"]
 SWAPS = [("declare(strict_types=1);", "declare(strict_types=0);"), ("public function ", "function "), ("protected function ", "function "), ("#[", "[")]
 BUG_NOTE = "\n// BUG: ensure this implementation follows Drupal 11 and PHP 8.3."
 REQUIREMENTS = ["- Use Drupal 11 and PHP 8.3 compatible patterns.", "- Provide a complete %s implementation for %s."]
@@ -127,3 +129,20 @@ def default_prefix(url: Column | str) -> Column:
     for term, prefix in reversed(PREFIXES):
         out = F.when(F.contains(t.c(url), F.lit(term)), prefix).otherwise(out)
     return out
+
+
+def candidate_reason() -> Column:
+    """Why a sample can't be augmented, by source, output and chunk_total; null if it can."""
+    source = F.lower(F.trim(t.c("source")))
+    return (
+        F.when(test_rows("source"), "augmentation_from_test_source").when(~any_of([source.endswith(x) for x in CODE_SUFFIXES]), "augmentation_non_php_source")
+        .when(~F.regexp_replace(t.c("output"), "^\\s+", "").startswith("<?php"), "augmentation_non_php_output").when(F.coalesce("chunk_total", F.lit(1)) > 1, "augmentation_chunked_source")
+    )
+
+
+def feedback_score(weak: list[str], patterns: dict[str, list[str]] | None = None) -> Column:
+    """How many weak categories a sample belongs to."""
+    out = F.lit(0)
+    for category in weak:
+        out = out + matches(category, patterns).cast("int")
+    return out

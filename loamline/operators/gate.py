@@ -30,7 +30,7 @@ SYMBOL_PROMPT = "^Show me the implementation of the (class|interface|trait|enum)
 
 @dataclass
 class GateConfig:
-    min_chars: int = 50
+    min_chars: int = 150
     max_chars: int = 50000
     min_by_type: dict = field(default_factory=dict)
     max_by_type: dict = field(default_factory=dict)

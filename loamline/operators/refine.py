@@ -148,6 +148,17 @@ def share_capped(samples: DataFrame, bucket: str, share: float, seed: int, score
     return ranked.withColumn("kept", F.row_number().over(order) > F.coalesce("_drop", F.lit(0))).drop("_drop")
 
 
+def has_prefix(prefixes: list[str], source: Column | str = "source") -> Column:
+    """Does the source begin with one of the prefixes, whatever their case? Blank ones don't count."""
+    low = F.lower(F.trim(t.c(source)))
+    return any_of([low.startswith(p.strip().lower()) for p in prefixes if p.strip()])
+
+
+def too_long(samples: DataFrame, most: int) -> DataFrame:
+    """samples with rejection_reason max_output_chars where even a chunk's output is longer, else null."""
+    return samples.withColumn("rejection_reason", F.when(F.length("output") > most, "max_output_chars"))
+
+
 def test_rows(source: Column | str = "source") -> Column:
     low = F.lower(t.c(source))
     return F.contains(low, F.lit("/tests/")) | low.endswith("test.php")

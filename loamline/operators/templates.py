@@ -6,9 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from .augment import CODE_SUFFIXES, DEFAULT_NAMESPACE, PLACEHOLDER
 
 DECLARED = "(?m)^\\s*(?:abstract\\s+|final\\s+)?(class|interface|trait|enum)\\s+([A-Za-z_][A-Za-z0-9_]*)"
-EXTENSIONS = [".php", ".module", ".inc", ".install", ".theme", ".yml", ".twig", ".md"]
+# Texts of samples.
+CODE_PROMPT = f"Show me the implementation of the %s %s in the file {PLACEHOLDER}."
+YAML_PROMPT = f"Provide the Drupal 11 YAML configuration from {PLACEHOLDER}."
+YAML_TASK = "Task: Return the complete Drupal 11 YAML configuration."
+TWIG_PROMPT = f"Show the Twig template implementation in {PLACEHOLDER} for Drupal 11 theming."
+TWIG_TASK = "Task: Return the complete Drupal 11 Twig template implementation."
+DOC_SUFFIXES = [".md", ".txt", ".html"]
 
 
 def without_comments(content: Column) -> Column:
@@ -27,14 +34,48 @@ def symbol(content: Column | str, path: Column | str) -> Column:
 
 def namespace(content: Column | str) -> Column:
     found = F.trim(F.regexp_extract(t.c(content), "(?m)^namespace\\s+([^;]+);", 1))
-    return F.when(found == "", "(global)").otherwise(found)
+    return F.when(found == "", DEFAULT_NAMESPACE).otherwise(found)
 
 
-def code_sample(files: DataFrame) -> DataFrame:
-    s = symbol("content", "path")
-    made = files.withColumn("_s", s)
-    hint = F.concat_ws("\n", F.concat(F.lit("File: "), t.file_hint("path")), F.concat(F.lit("Module: "), t.module_hint("path")), F.concat(F.lit("Namespace: "), namespace("content")), F.concat(F.lit("Symbol kind: "), F.col("_s.kind")), F.concat(F.lit("Symbol name: "), F.col("_s.name")))
-    return made.select(F.format_string("Show me the implementation of the %s %s in the file %s.", "_s.kind", "_s.name", t.file_hint("path")).alias("instruction"), hint.alias("input"), F.col("content").alias("output"), F.col("path").alias("source"), F.lit("code_reference").alias("type"), F.col("_s.method").alias("symbol_extraction_method"))
+SAMPLE = ["instruction", "input", "output", "source", "type", "sample_type", "topic", "symbol_kind", "symbol_name", "symbol_extraction_method"]
+
+
+def sample(files: DataFrame, kind: str, instruction: Column, tail: list[Column], **more: Column) -> DataFrame:
+    """A sample of each file: its place, then the lines of tail; its content is the output."""
+    head = [F.lit(f"Source file: {PLACEHOLDER}"), F.concat(F.lit("File name hint: "), t.file_hint("path")), F.concat(F.lit("Module hint: "), t.module_hint("path"))]
+    found = {"instruction": instruction, "input": F.concat_ws("\n", *head, *tail), "output": F.col("content"), "source": F.col("path"), "type": F.lit(kind), "sample_type": F.lit("retrieval")} | more
+    return files.select(*(found.get(c, F.lit(None).cast("string")).alias(c) for c in SAMPLE))
+
+
+def code_sample(files: DataFrame, kinds: bool = True) -> DataFrame:
+    """kinds: name the kind of symbol in the prompt, rather than always a class."""
+    made = files.withColumn("_s", symbol("content", "path"))
+    kind, name = F.col("_s.kind"), F.col("_s.name")
+    target = [F.concat(F.lit("Target symbol: "), kind, F.lit(" "), name), F.concat(F.lit("Namespace: "), namespace("content"))]
+    prompt = F.format_string(CODE_PROMPT, kind if kinds else F.lit("class"), name)
+    return sample(made, "code_reference", prompt, target, symbol_kind=kind, symbol_name=name, symbol_extraction_method=F.col("_s.method"))
+
+
+def stem(path: Column | str) -> Column:
+    """The file's name without its last suffix."""
+    return F.regexp_replace(t.file_hint(path), "(?<=.)\\.[^.]+$", "")
+
+
+def yaml_sample(files: DataFrame) -> DataFrame:
+    topic = F.replace(stem("path"), F.lit("_"), F.lit(" "))
+    return sample(files, "yaml_reference", F.lit(YAML_PROMPT), [F.concat(F.lit("Configuration topic: "), topic), F.lit(YAML_TASK)], topic=topic)
+
+
+def twig_sample(files: DataFrame) -> DataFrame:
+    return sample(files, "twig_reference", F.lit(TWIG_PROMPT), [F.lit(TWIG_TASK)])
+
+
+def generated(files: DataFrame) -> DataFrame:
+    """The samples of all files, each by the template of its suffix; files of other suffixes give none."""
+    low = t.suffix("path")
+    docs = doc_sample(files.where(low.isin(DOC_SUFFIXES)))
+    code = code_sample(files.where(low.isin(CODE_SUFFIXES)))
+    return code.unionByName(yaml_sample(files.where(low == ".yml"))).unionByName(twig_sample(files.where(low == ".twig"))).unionByName(docs, allowMissingColumns=True)
 
 
 def title(content: Column | str, path: Column | str) -> Column:
@@ -66,20 +107,18 @@ def doc_sample(files: DataFrame, least: int = 120) -> DataFrame:
     return made.select(F.concat(F.lit("Explain the following topic: "), F.col("topic")).alias("instruction"), F.concat(F.lit("Source: "), t.file_hint("path")).alias("input"), "output", F.col("path").alias("source"), F.lit("doc_summary").alias("type"), "topic")
 
 
-def spec(output: Column | str, path: Column | str) -> Column:
-    """File, namespace, up to 8 imports in order and up to 12 distinct methods in order of their names."""
-    x = t.c(output)
-    uses = F.slice(F.transform(F.regexp_extract_all(x, F.lit("(?m)^use\\s+([^;]+);"), F.lit(1)), t.strip), 1, 8)
-    methods = F.slice(F.array_sort(F.array_distinct(F.regexp_extract_all(x, F.lit("\\bfunction\\s+([A-Za-z_][A-Za-z0-9_]*)\\s*\\("), F.lit(1)))), 1, 12)
-    return F.concat_ws("\n", F.concat(F.lit("File: "), t.file_hint(path)), F.concat(F.lit("Namespace: "), namespace(x)), F.when(F.size(uses) > 0, F.concat(F.lit("Imports: "), F.array_join(uses, ", "))), F.when(F.size(methods) > 0, F.concat(F.lit("Methods: "), F.array_join(methods, ", "))))
-
-
 def component_pairs(files: DataFrame) -> DataFrame:
-    """Configuration and template files of one component: the first candidate path that is there."""
-    yml = files.where(F.col("path").endswith(".component.yml")).select(F.col("path").alias("yaml_path"), F.col("content").alias("yaml"))
-    stem = F.regexp_replace("yaml_path", "\\.component\\.yml$", "")
-    folder = F.regexp_replace("yaml_path", "/[^/]*$", "")
-    tries = F.array(F.concat(stem, F.lit(".twig")), F.concat(stem, F.lit(".html.twig")), F.concat(folder, F.lit("/"), F.element_at(F.split(folder, "/"), -1), F.lit(".twig")))
+    """Configuration and template files of one component: the first candidate path that is there.
+
+    x.component.yml goes with x.twig; component.yml with component.twig or a template named like its folder.
+    """
+    yml = files.where(F.col("path").endswith(".component.yml") | (t.file_hint("path") == "component.yml")).select(F.col("path").alias("yaml_path"), F.col("content").alias("yaml"))
+    folder = F.regexp_extract("yaml_path", "^(.*/)[^/]*$", 1)
+    parent = F.try_element_at(F.split(folder, "/"), F.lit(-2))
+    plain = t.file_hint("yaml_path") == "component.yml"
+    named = F.array(F.regexp_replace("yaml_path", "\\.component\\.yml$", ".twig"))
+    same = F.array_compact(F.array(F.concat(folder, F.lit("component.twig")), F.when(F.coalesce(parent, F.lit("")) != "", F.concat(folder, parent, F.lit(".twig")))))
+    tries = F.when(plain, same).otherwise(named)
     twigs = files.where(F.col("path").endswith(".twig")).select(F.col("path").alias("twig_path"), F.col("content").alias("twig"))
     found = yml.select("yaml_path", "yaml", F.posexplode(tries).alias("rank", "twig_path")).join(twigs, "twig_path")
     return found.groupBy("yaml_path").agg(F.min_by(F.struct("yaml", "twig_path", "twig"), "rank").alias("m")).select("yaml_path", "m.*")

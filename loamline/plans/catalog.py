@@ -69,7 +69,7 @@ def fn21_labels(spark, sf):
 
 # --- rules -------------------------------------------------------------------
 
-GATE = gate.GateConfig(max_by_type={"doc_summary": 6000}, min_by_type={"yaml_reference": 20}, need_input=["yaml_reference"], denied_topics=["the "], doc_sources=["docs/", "repos/src1"])
+GATE = gate.GateConfig(min_chars=50, max_by_type={"doc_summary": 6000}, min_by_type={"yaml_reference": 20}, need_input=["yaml_reference"], denied_topics=["the "], doc_sources=["docs/", "repos/src1"])
 
 
 def fl01_gate_rules(spark, sf):
@@ -258,8 +258,34 @@ def pj05_doc_samples(spark, sf):
 
 
 def pj01_code_samples(spark, sf):
-    files = docs(spark, sf).select(F.format_string("repos/mod/src/f%d.php", "doc_id").alias("path"), F.concat(F.lit(CODE + "// class Decoy\nclass Thing"), F.col("doc_id"), F.lit(" {}\n")).alias("content"))
-    return templates.code_sample(files).select("source", "instruction", "input", "symbol_extraction_method")
+    files = docs(spark, sf).select(F.format_string("repos/mod/src/f%d.php", "doc_id").alias("path"), F.concat(F.lit(CODE + "// class Decoy\nclass Thing"), F.col("doc_id"), F.lit(" {}\n/*\n"), F.replace("text", F.lit("*/"), F.lit("")), F.lit("*/\n")).alias("content"))
+    return templates.code_sample(files).select("source", "instruction", "input", "symbol_extraction_method", F.md5("output").alias("h"))
+
+
+def pj06_dispatch(spark, sf):
+    """Configuration, templates and code side by side, each by its suffix; other files give no sample."""
+    name = F.element_at(F.array(*map(F.lit, ["%d_x.y.yml", "t-%d.html.twig", "f%d.php", "m%d.js"])), (F.col("doc_id") % 4 + 1).cast("int"))
+    files = docs(spark, sf).select(F.concat(F.lit("repos/mod/"), F.replace(name, F.lit("%d"), F.col("doc_id").cast("string"))).alias("path"), F.col("text").alias("content"))
+    return templates.generated(files.where("content is not null")).where("type != 'code_reference'").select("source", "instruction", "input", "type", "topic", F.md5("output").alias("h"))
+
+
+def fl12_candidates(spark, sf):
+    s = samples(spark, sf).withColumn("output", F.when(F.col("seq") % 2 == 0, F.concat(F.lit(" \n<?php\n"), F.col("output"))).otherwise(F.col("output"))).withColumn("chunk_total", F.when(F.col("seq") % 10 == 4, 3))
+    return s.select("seq", augment.candidate_reason().alias("reason"))
+
+
+def fl09_prefixes(spark, sf):
+    return samples(spark, sf).where(~refine.has_prefix(["", " REPOS/src1 ", "docs/src2/"])).select("seq")
+
+
+def wn13_feedback(spark, sf):
+    """Candidates in order of how many weak categories they serve."""
+    p = {"a": ["the\\s+of", "\\bing"], "b": ["license"], "c": []}
+    return samples(spark, sf).select("seq", augment.feedback_score(["a", "b", "c", "d"], p).alias("score"))
+
+
+def wn16_length(spark, sf):
+    return refine.too_long(samples(spark, sf), 3000).groupBy("rejection_reason").agg(F.count("*").alias("n"), F.sum("seq").alias("s"))
 
 
 def coded(spark, sf):
@@ -308,7 +334,7 @@ QUERIES = {
     for f in (
         fn01_normalize, fn05_hashes, fn07_code_blocks, fn14_format_sanity, pj18_paths, fn21_labels, fl01_gate_rules, fl01_gate, ag02_gate_report, fl10_validation, fl13_categories, fl21_audit, wn14_line_chunks, wn15_char_chunks, wn01_first_pairs,
         wn02_exact_dedup, wn03_near_dedup, wn04_ranked_dedup, wn07_split, wn08_rebalance, wn09_share_cap, wn10_quota, wn11_round_robin, wn12_grouped_split, wn17_turn_pairs, ag04_percentiles, ag05_empty_inputs, ag06_ambiguity, ag07_duplicates, ag08_concentration,
-        ag12_evaluation, ag11_feedback, fn17_scores, ag15_scorecard, sc15_storage_paths, sc16_links, fn03_markdown, fl19_discovery, so01_ranking, pj05_doc_samples, pj01_code_samples,
+        ag12_evaluation, ag11_feedback, fn17_scores, ag15_scorecard, sc15_storage_paths, sc16_links, fn03_markdown, fl19_discovery, so01_ranking, pj05_doc_samples, pj01_code_samples, pj06_dispatch, fl12_candidates, fl09_prefixes, wn13_feedback, wn16_length,
         pj12_broken, pj13_augmented, fl20_checks, sc12_branches, sc19_prefixes, ag17_fetches, st01_sets,
     )
 }

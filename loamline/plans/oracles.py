@@ -106,7 +106,17 @@ SQL = {
     "sc16_links": r"""WITH l AS (SELECT regexp_replace(url, '[?#].*$', '') AS url, unnest(regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"', 1)) AS href FROM pages) SELECT url, count(*) AS n, count(DISTINCT string_split(href, '#')[1]) AS n_distinct FROM l GROUP BY url""",
     "fl19_discovery": rf"""WITH n AS ({c.NODES}), r AS (SELECT CASE WHEN machine_name = '' THEN 'missing_machine_name' WHEN contains(lower(title || ' ' || machine_name), 'archived') THEN 'archived_or_security_only' WHEN NOT has_composer THEN 'missing_composer' WHEN NOT regexp_matches(core_constraint, '(^|[^0-9])\^?11(\.|$)') THEN 'core_not_drupal11' WHEN language_constraint = '>=8.1' THEN 'php_constraint_too_low' ELSE 'kept' END AS reason FROM n) SELECT reason, count(*) AS n FROM r GROUP BY reason""",
     "so01_ranking": rf"""WITH n AS ({c.NODES}) SELECT id, machine_name, CAST(regexp_matches(core_constraint, '(^|[^0-9])\^?11(\.|$)') AS INT) AS core_ok, CAST(language_constraint <> '>=8.1' AS INT) AS language_ok FROM n WHERE machine_name <> '' ORDER BY core_ok DESC, language_ok DESC, recent DESC, has_tests DESC, usage DESC, machine_name DESC LIMIT 200""",
-    "pj01_code_samples": r"""SELECT 'repos/mod/src/f' || doc_id || '.php' AS source, 'Show me the implementation of the class Thing' || doc_id || ' in the file f' || doc_id || '.php.' AS instruction, 'File: f' || doc_id || '.php' || chr(10) || 'Module: mod' || chr(10) || 'Namespace: A' || chr(10) || 'Symbol kind: class' || chr(10) || 'Symbol name: Thing' || doc_id AS input, 'declaration' AS symbol_extraction_method FROM documents""",
+    "pj01_code_samples": r"""SELECT 'repos/mod/src/f' || doc_id || '.php' AS source, 'Show me the implementation of the class Thing' || doc_id || ' in the file <source_file>.' AS instruction,
+        'Source file: <source_file>' || chr(10) || 'File name hint: f' || doc_id || '.php' || chr(10) || 'Module hint: mod' || chr(10) || 'Target symbol: class Thing' || doc_id || chr(10) || 'Namespace: A' AS input, 'declaration' AS symbol_extraction_method,
+        md5('<?php' || chr(10) || chr(10) || 'namespace A;' || chr(10) || chr(10) || 'use B' || chr(92) || 'C;' || chr(10) || 'use D;' || chr(10) || chr(10) || '// class Decoy' || chr(10) || 'class Thing' || doc_id || ' {}' || chr(10) || '/*' || chr(10) || replace(text, '*/', '') || '*/' || chr(10)) AS h FROM documents""",
+    "pj06_dispatch": r"""WITH h AS (SELECT *, 'Source file: <source_file>' || chr(10) || 'File name hint: ' AS a, chr(10) || 'Module hint: mod' || chr(10) AS b FROM documents WHERE text IS NOT NULL)
+        SELECT 'repos/mod/' || doc_id || '_x.y.yml' AS source, 'Provide the Drupal 11 YAML configuration from <source_file>.' AS instruction, a || doc_id || '_x.y.yml' || b || 'Configuration topic: ' || doc_id || ' x.y' || chr(10) || 'Task: Return the complete Drupal 11 YAML configuration.' AS input, 'yaml_reference' AS type, doc_id || ' x.y' AS topic, md5(text) AS h FROM h WHERE doc_id % 4 = 0
+        UNION ALL SELECT 'repos/mod/t-' || doc_id || '.html.twig', 'Show the Twig template implementation in <source_file> for Drupal 11 theming.', a || 't-' || doc_id || '.html.twig' || b || 'Task: Return the complete Drupal 11 Twig template implementation.', 'twig_reference', NULL, md5(text) FROM h WHERE doc_id % 4 = 1""",
+    "fl12_candidates": f"""{W}, s AS (SELECT *, lower(source) AS low FROM samples) SELECT seq, CASE WHEN contains(low, '/tests/') OR ends_with(low, 'test.php') THEN 'augmentation_from_test_source' WHEN NOT ends_with(low, '.php') THEN 'augmentation_non_php_source'
+        WHEN seq % 2 <> 0 AND NOT regexp_matches(output, '^\\s*<[?]php') THEN 'augmentation_non_php_output' WHEN seq % 10 = 4 THEN 'augmentation_chunked_source' END AS reason FROM s""",
+    "fl09_prefixes": f"{W} SELECT seq FROM samples WHERE NOT (starts_with(lower(source), 'repos/src1') OR starts_with(lower(source), 'docs/src2/'))",
+    "wn13_feedback": rf"{W} SELECT seq, CAST(regexp_matches(s, '(?im)the\s+of') OR regexp_matches(s, '(?im)\bing') AS INT) + CAST(regexp_matches(s, '(?im)license') AS INT) AS score FROM (SELECT seq, concat_ws(' ', source, instruction, input, output) AS s FROM samples)",
+    "wn16_length": f"{W} SELECT CASE WHEN length(output) > 3000 THEN 'max_output_chars' END AS rejection_reason, count(*) AS n, CAST(sum(seq) AS BIGINT) AS s FROM samples GROUP BY 1",
     "pj05_doc_samples": r"""WITH d AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: length(x) >= 50 AND NOT starts_with(x, '#') AND NOT starts_with(x, '|') AND len(regexp_extract_all(x, 'http')) < 2) AS ps, '# Title ' || doc_id || ' {#x}' || chr(10) || chr(10) || replace(text, chr(10), chr(10) || chr(10)) AS content FROM documents),
         o AS (SELECT doc_id, trim(left('Topic: Title ' || doc_id || chr(10) || chr(10) || CASE WHEN len(ps) > 0 THEN array_to_string(ps[1:6], chr(10) || chr(10)) ELSE left(content, 6000) END, 6000), ' ' || chr(10)) AS out FROM d)
         SELECT 'docs/a/' || doc_id || '.md' AS source, 'Title ' || doc_id AS topic, 'Explain the following topic: Title ' || doc_id AS instruction, md5(out) AS h FROM o WHERE length(out) >= 120""",

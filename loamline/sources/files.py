@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 
 SAMPLE = "instruction string, input string, output string, metadata struct<source:string,type:string,sample_type:string,topic:string,related_template:string,symbol_kind:string,symbol_name:string,symbol_extraction_method:string>"
-BINARY_SUFFIXES = [".png", ".jpg", ".jpeg", ".gif", ".ico", ".webp", ".woff", ".woff2", ".ttf", ".eot"]
+# Fixed values.
+BINARY_SUFFIXES = [".png", ".jpg", ".jpeg", ".gif", ".ico", ".svg", ".woff", ".woff2", ".ttf", ".eot"]
 
 
 def read_samples(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
@@ -27,12 +28,14 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_tree(spark: SparkSession, path: str, suffixes: list[str] | None = None) -> DataFrame:
-    """path and content of all text files below path. Images, fonts and files with NUL bytes are left out."""
+    """path and content of all text files below path. Images, fonts and files with NUL bytes are left out; bytes that aren't UTF-8 are dropped."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     low = t.suffix("path")
     keep = low.isin(suffixes) if suffixes else ~low.isin(BINARY_SUFFIXES)
-    nul = F.instr(F.hex("content"), "00") > 0
-    return found.where(keep).where(~nul | low.isin(".php", ".module", ".inc")).select("path", F.decode("content", "UTF-8").alias("content"), "length")
+    nul = F.contains("content", F.lit(b"\0"))
+    text = F.col("content").cast("string")
+    text = F.when(F.is_valid_utf8(text), text).otherwise(F.replace(F.make_valid_utf8(text), F.lit("\ufffd"), F.lit("")))
+    return found.where(keep).where(~nul | low.isin(".php", ".module", ".inc")).select("path", text.alias("content"), "length")
 
 
 def write_samples(samples: DataFrame, path: str) -> None:

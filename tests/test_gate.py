@@ -17,7 +17,7 @@ def reasons(spark, rows, cfg=None):
 
 
 def test_reasons(spark):
-    cfg = gate.GateConfig(need_input=["yaml_reference"], min_by_type={"yaml_reference": 20}, denied_topics=["secret"], doc_sources=["docs/"], max_streak=40)
+    cfg = gate.GateConfig(min_chars=50, need_input=["yaml_reference"], min_by_type={"yaml_reference": 20}, denied_topics=["secret"], doc_sources=["docs/"], max_streak=40)
     prose = "some letters here " * 12 + "\nmore\nlines"
     rows = [
         (sample(instruction="Show me the implementation of the class is in the file x", output=prose + "1"), "invalid_symbol_kind_prompt"),
@@ -64,7 +64,7 @@ def test_state_against_one_pass(spark):
         plan = [(f"i{r.randrange(5)}", r.randrange(9), r.random() < 0.2) for _ in range(60)]
         text = lambda k, bad: ("cookie " if bad else "") + f"kind {k}\n" + "text of some length " * 9 + "\nend"
         rows = [sample(instruction=i, output=text(k, b)) for i, k, b in plan]
-        assert reasons(spark, rows, gate.GateConfig(outputs_per_pair=n)) == sequential([(x["instruction"], x["output"], b) for x, (_, _, b) in zip(rows, plan, strict=True)], n)
+        assert reasons(spark, rows, gate.GateConfig(min_chars=50, outputs_per_pair=n)) == sequential([(x["instruction"], x["output"], b) for x, (_, _, b) in zip(rows, plan, strict=True)], n)
 
 
 def test_refinement_helpers():

@@ -2,7 +2,7 @@ import hashlib
 
 from loamline.functions import html
 from loamline.functions import text as t
-from loamline.operators import dedup, refine, templates
+from loamline.operators import augment, dedup, refine, templates
 from loamline.sources import crawl, files
 from pyspark.sql import functions as F
 
@@ -116,3 +116,24 @@ def test_streaming_dedup(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("fresh").count() == 3
+
+
+def test_trees_keep_text_files_whatever_their_lines_end_with(spark, tmp_path):
+    ends = ["stop", "space ", "0", "@", "P", "`"]
+    for i, x in enumerate(ends):
+        (tmp_path / f"f{i}.txt").write_text(f"{x}\nnext\n")
+    (tmp_path / "a.svg").write_text("<svg/>")
+    (tmp_path / "nul.txt").write_bytes(b"a\0b")
+    (tmp_path / "nul.php").write_bytes(b"a\0b")
+    (tmp_path / "bad.txt").write_bytes(b"caf\xe9 ol\xc3\xa9")
+    got = {r["path"].rsplit("/", 1)[1]: r["content"] for r in files.read_tree(spark, str(tmp_path)).collect()}
+    assert got == {f"f{i}.txt": f"{x}\nnext\n" for i, x in enumerate(ends)} | {"nul.php": "a\0b", "bad.txt": "caf ol\u00e9"}
+
+
+def test_augmentation_candidates_and_pairs_of_components(spark):
+    rows = [("a/tests/x.php", "<?php", 1), ("a/x.md", "<?php", 1), ("a/x.module", "text", 1), ("a/x.inc", " \n<?php", 3), ("a/x.theme", "<?php", None)]
+    df = spark.createDataFrame(rows, "source string, output string, chunk_total int")
+    assert [r[0] for r in df.select(augment.candidate_reason()).collect()] == ["augmentation_from_test_source", "augmentation_non_php_source", "augmentation_non_php_output", "augmentation_chunked_source", None]
+    paths = ["c/card/card.component.yml", "c/card/card.twig", "c/hero/component.yml", "c/hero/hero.twig", "c/lone/component.yml", "component.yml", "component.twig"]
+    df = spark.createDataFrame([(p, "x") for p in paths], "path string, content string")
+    assert sorted((r["yaml_path"], r["twig_path"]) for r in templates.component_pairs(df).collect()) == [("c/card/card.component.yml", "c/card/card.twig"), ("c/hero/component.yml", "c/hero/hero.twig"), ("component.yml", "component.twig")]
