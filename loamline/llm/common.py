@@ -44,11 +44,24 @@ def new_path(spark: SparkSession, what: str) -> str:
     return f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Steps that run inside send rows to Python in smaller batches: ten thousand texts at once take much memory on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, what: str) -> tuple[DataFrame, str]:
     """df written as Parquet to the shared folder and read again, which cuts its lineage; and the path."""
     spark, path = df.sparkSession, new_path(df.sparkSession, what)
     schema = df.schema
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     # What a result still reads can't go before the session ends.
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
