@@ -45,7 +45,7 @@ def new_path(spark: SparkSession, what: str) -> str:
 
 
 @contextlib.contextmanager
-def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
     """Steps that run inside send rows to Python in smaller batches: ten thousand texts at once take much memory on both sides."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
@@ -56,11 +56,11 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def stored(df: DataFrame, what: str) -> tuple[DataFrame, str]:
+def stored(df: DataFrame, what: str, batch_rows: int | None = None) -> tuple[DataFrame, str]:
     """df written as Parquet to the shared folder and read again, which cuts its lineage; and the path."""
     spark, path = df.sparkSession, new_path(df.sparkSession, what)
     schema = df.schema
-    with small_batches(spark):
+    with small_batches(spark, batch_rows) if batch_rows else contextlib.nullcontext():
         df.write.parquet(path)
     # What a result still reads can't go before the session ends.
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -61,7 +61,7 @@ FEW = 32
 VOTES = 9
 #: After so many rounds of centres, what is left of a bucket is compared in all pairs.
 LEVELS = 12
-LAST = 2**63 - 1
+LAST, BATCH_ROWS = 2**63 - 1, 1000
 REGISTERS = BANDS * ROWS
 _P = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
@@ -199,7 +199,7 @@ def links(docs: DataFrame, keys: DataFrame, threshold: float = THRESHOLD) -> Dat
     shared, shared_path = stored(member.join(sizes, "key"), "buckets")
     # How common a node's bands are: high in the middle of a group.
     popular, popular_path = stored(shared.groupBy("node").agg(F.sum("size").alias("common"), F.first("first_id").alias("first_id")), "popular")
-    sets, sets_path = stored(shingle_sets(docs, popular.select("node", "first_id")), "shingles")
+    sets, sets_path = stored(shingle_sets(docs, popular.select("node", "first_id")), "shingles", BATCH_ROWS)
     paths, found, level = [popular_path, sets_path], [], 0
     first = shared.join(popular.select("node", "common"), "node").select("key", "node", "k", F.col("common").cast("double").alias("central"), "size", F.col("size").alias("unlinked"), F.lit(False).alias("linked"), (F.col("k") / threshold).alias("cap"))
     open_, path = stored(first, "open")
@@ -380,7 +380,7 @@ def components(edges: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, node (of the text), class_id, class_size and keeper (is it the text that stays?) of every row."""
     hashed = docs.select("doc_id", node().alias("node"), "text")
-    rows, _ = stored(map_texts(hashed, lambda: bands_of, {"bands": "array<long>", "size": "int"}, PIECE), "bands")
+    rows, _ = stored(map_texts(hashed, lambda: bands_of, {"bands": "array<long>", "size": "int"}, PIECE), "bands", BATCH_ROWS)
     keys, keys_path = stored(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("size").alias("size")), "texts")
     labels = components(links(docs, keys, threshold))
     named, named_path = stored(keys.select("node", "first_id", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labels")
