@@ -4,6 +4,11 @@ Each stage takes (spark, docs, sf_dir). All but the last return the columns of
 ``documents``; the last returns the pieces of each text that is left. SQL can't
 express the stages' models, so there is no ``ORACLE_SQL``; the stages are tested
 against brute force.
+
+Null and empty texts fail the base rules and go in the first stage; a stage that gets
+some by itself keeps them. Of repeated rows and of ties by id one row stays after the
+second stage. Texts are read whole, however long. Columns of any name stay in all
+stages but the last. Of an empty table every stage's result is empty.
 """
 
 from __future__ import annotations
