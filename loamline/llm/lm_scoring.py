@@ -8,9 +8,11 @@ shuffle.
 The model predicts the ``MODEL_WORDS`` most frequent words, the end and a class of
 all other words from the two tokens before. A score is the word's bias plus the
 product of its vector and the sum of both context vectors, each scaled by its
-place. Every task trains on all tokens of its part from the same start, in
-batches with common noise words, and the parts' parameters are averaged by
-their tokens. As the exponential of a score is a product over the two places,
+place. Training texts are dealt by a hash of id and text to shards, whose number
+follows from the corpus' tokens, and are ordered by that hash inside. Every shard
+trains on all its tokens from the same start, in batches with common noise words,
+and the shards' parameters are averaged by their tokens: the parameters depend on
+the rows only, not on how they are partitioned. As the exponential of a score is a product over the two places,
 one matrix product of the exponentials gives the normaliser of every pair of
 context tokens, so the log-probabilities are normalised exactly. A word of the
 class of others gets, besides, its smoothed share of that class.
@@ -27,7 +29,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +37,8 @@ from .common import map_texts, pieces, stored, table
 HEAD_WORDS, MODEL_WORDS, DIM, NOISE, BATCH = 131_072, 2046, 16, 64, 8192
 END, OTHER, FIRST = 0, 1, 2
 COUNT_FLUSH, PIECE = 200_000, 3_000_000
+# More shards than MOST_SHARDS would only give more parameters to average; beyond that they grow.
+SHARD_TOKENS, MOST_SHARDS = 2_000_000, 4096
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -138,44 +141,64 @@ def trained(docs: DataFrame, stats: Statistics, rate: float = 0.12) -> Parameter
     """Parameters from all texts of docs."""
     start = Parameters(stats.size)
     start.b[:] = np.log(stats.unigram())
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((start.flat, stats.words[:MODEL_WORDS], stats.unigram()))
+    words, unigram = stats.words[:MODEL_WORDS], stats.unigram()
+    sent = docs.sparkSession.sparkContext.broadcast((start.flat, unigram, words))
+    count = max(1, min(MOST_SHARDS, -(-stats.n // SHARD_TOKENS)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, words, unigram = sent.value
-        p = Parameters(len(words) + FIRST, flat=flat.copy())
-        squares, n = np.full(len(flat), 1e-8), 0
-        ids = {w: i + FIRST for i, w in enumerate(words)}
-        r = np.random.default_rng([3, TaskContext.get().partitionId()])
-        for b in pieces(batches, PIECE):
-            x = model_triples(b.column(0).to_pylist(), ids)
-            n += len(x)
-            nce_steps(p, squares, x, np.log(NOISE * unigram), r, np.cumsum(unigram), rate)
-        if n:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(p.flat.astype(float) * n), pa.array(np.full(len(flat), float(n)))], names=["i", "v", "n"])
+    def make():
+        ids = {w: i + FIRST for i, w in enumerate(sent.value[2])}
+        return lambda texts: [[np.array([*(ids.get(w, OTHER) for w in tokens_of(t)), END], np.int16).tobytes() for t in texts]]
 
-    rows = docs.select("text").mapInArrow(run, "i int, v double, n double").groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).collect()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat, unigram, _ = sent.value
+        noise_log, cumulative = np.log(NOISE * unigram), np.cumsum(unigram)
+        now, shard, held, size = None, None, [], 0
+
+        def begun(shard: int) -> tuple:
+            return Parameters(len(unigram), flat=flat.copy()), np.full(len(flat), 1e-8), np.random.default_rng([3, shard])
+
+        def steps(last: bool) -> None:
+            # Batches are cut from the shard's tokens alone, wherever Arrow's batches end.
+            nonlocal held, size
+            p, squares, r = now
+            x = np.concatenate(held)
+            cut = len(x) if last else len(x) // BATCH * BATCH
+            nce_steps(p, squares, x[:cut], noise_log, r, cumulative, rate)
+            held, size = [x[cut:]], len(x) - cut
+
+        def whole() -> pa.RecordBatch:
+            steps(True)
+            p, n = now[0], float(tokens)
+            return pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(p.flat.astype(float) * n), pa.array(np.full(len(flat), n))], names=["i", "v", "n"])
+
+        tokens = 0
+        for b in batches:
+            for s, ids in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                if s != shard:
+                    if now:
+                        yield whole()
+                    now, shard, held, size, tokens = begun(s), s, [], 0, 0
+                x = triples(np.frombuffer(ids.as_buffer(), np.int16))
+                held.append(x)
+                size, tokens = size + len(x), tokens + len(x)
+                if size > 32 * BATCH:
+                    steps(False)
+        if now:
+            yield whole()
+
+    key = F.xxhash64("doc_id", "text")
+    coded = map_texts(docs.select(F.pmod(key, F.lit(count)).cast("int").alias("shard"), key.alias("at"), "text"), make, {"ids": "binary"}, PIECE)
+    dealt = coded.repartitionById(count, "shard").sortWithinPartitions("shard", "at", "ids").select("shard", "ids")
+    rows = dealt.mapInArrow(run, "i int, v double, n double").groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).collect()
     for i, v in rows:
         start.flat[i] = v
     return start
 
 
-def model_triples(texts: list, ids: dict[bytes, int]) -> np.ndarray:
-    """(first, second, word) at every token, ends included; contexts begin with two ends."""
-    flat: list[int] = []
-    at: list[int] = []
-    for text in texts:
-        flat += (END, END)
-        begin = len(flat)
-        flat += [ids.get(w, OTHER) for w in tokens_of(text)]
-        flat.append(END)
-        at.append(begin)
-    x = np.array(flat, np.int64)
-    keep = np.ones(len(x), bool)
-    starts = np.array(at, np.int64)
-    keep[starts - 1] = keep[starts - 2] = False
-    i = np.nonzero(keep)[0]
-    return np.stack([x[i - 2], x[i - 1], x[i]], 1)
+def triples(ids: np.ndarray) -> np.ndarray:
+    """(first, second, word) at every token of a text, its end included; contexts begin with two ends."""
+    x = np.concatenate([np.full(2, END, np.int16), ids])
+    return np.stack([x[:-2], x[1:-1], x[2:]], 1).astype(np.int64)
 
 
 def corpus_statistics(counts: DataFrame, documents: int) -> Statistics:

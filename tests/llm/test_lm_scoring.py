@@ -62,3 +62,34 @@ def test_held_out_texts_are_better_predicted_than_by_counts(spark):
         rows.append((d, " ".join(out)))
     got = lm.score(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)).where("held_out").groupBy().sum("score", "base_score", "n_tokens").first()
     assert got[0] / got[2] > got[1] / got[2] + 0.3
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 3000)
+    r = random.Random(8)
+    rows = [(d, " ".join(f"w{int(r.expovariate(0.05))}" for _ in range(r.randrange(120)))) for d in range(300)] + [(None, None), (5, ""), (7, "w1 " * 9000), (7, "w1 " * 9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one, other = (sorted(((g["doc_id"] is None, g["doc_id"] or 0, g["n_tokens"]), g["score"]) for g in lm.score(docs.repartition(n)).collect()) for n in (2, 8))
+    assert all(a[0] == b[0] and abs(a[1] - b[1]) <= 1e-6 * abs(a[1]) for a, b in zip(one, other, strict=True))
+
+
+def test_score_against_direct_recomputation(spark, monkeypatch):
+    monkeypatch.setattr(lm, "MODEL_WORDS", 6)
+    monkeypatch.setattr(lm, "HEAD_WORDS", 12)
+    r = random.Random(9)
+    docs = spark.createDataFrame([(d, " ".join(f"w{int(r.expovariate(0.2))}" for _ in range(r.randrange(30)))) for d in range(80)], "doc_id long, text string")
+    train = docs.where(~lm.held_out())
+    counts = lm.word_counts(train)
+    stats = lm.corpus_statistics(counts, train.count())
+    p, n = lm.trained(train, stats), {bytes(x["word"]).decode(): x["n"] for x in counts.collect()}
+    ids = {w.decode(): i + lm.FIRST for i, w in enumerate(stats.words[:6])}
+    # A word outside of the model has its smoothed share of the class of others; one unseen word has one count.
+    others = sum(k for w, k in n.items() if w not in ids) + sum(w not in ids for w in n) + 1
+    got = {g["doc_id"]: g["score"] for g in lm.score(docs).collect()}
+    for d, text in docs.collect():
+        seq, want = [lm.END, lm.END, *(ids.get(w, lm.OTHER) for w in text.split()), lm.END], 0.0
+        for i, w in enumerate([*text.split(), None], 2):
+            x = (p.r[seq[i - 2]] * p.c1 + p.r[seq[i - 1]] * p.c2) @ p.q.T + p.b
+            want += (x[seq[i]] - np.log(np.exp(x).sum())) / np.log(10)
+            want += math.log10((n.get(w, 0) + 1) / others) if seq[i] == lm.OTHER else 0
+        assert abs(got[d] - want) < 1e-4 * (1 + abs(want))
