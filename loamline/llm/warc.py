@@ -19,6 +19,12 @@ that name it; smaller payloads are all responses. A null payload is empty. A nul
 id is ordered after all others; rows that share the smallest id are all responses.
 White space and controls in URLs are percent-encoded; a null URL becomes
 ``urn:page``. Other columns are left out.
+
+Archives from elsewhere may hold any bytes: bodies and headers are kept as they
+are, whatever their encoding. URLs with spaces are read up to the last fields of the
+header line. A record without an HTTP head becomes a resource, whose payload
+is its whole block. HTTP lines without a colon give no field. Records without a page
+id have null there and are all responses.
 """
 
 from __future__ import annotations
@@ -41,6 +47,20 @@ FIELDS = {1: ["URL", "IP-address", "Archive-date", "Content-type", "Archive-leng
 DATE = "20240101000000"
 
 
+def text_of(data: bytes) -> str:
+    """Header bytes as text that gives the same bytes again."""
+    return data.decode("utf-8", "surrogateescape")
+
+
+def bytes_of(text: str) -> bytes:
+    return text.encode("utf-8", "surrogateescape")
+
+
+def shown(text: str) -> str:
+    """The text for a column, which holds UTF-8 only."""
+    return bytes_of(text).decode("utf-8", "replace")
+
+
 def safe_url(url: str | None) -> str:
     return re.sub(r"[\x00-\x20\x7f-\xa0  ]", lambda m: "".join(f"%{b:02X}" for b in m.group().encode()), url) if url else "urn:page"
 
@@ -76,7 +96,8 @@ def arc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         if end == at:  # blank lines between records
             at += 1
             continue
-        values = data[at:end].decode("utf-8").rstrip("\r").split(" ")
+        line = text_of(data[at:end]).rstrip("\r")
+        values = line.rsplit(" ", len(fields) - 1) if fields else line.split(" ")
         names = fields or next((f for f in FIELDS.values() if len(f) == len(values)), None)
         if names is None or len(values) != len(names):
             raise ValueError(f"header line of {len(values)} fields at byte {at}")
@@ -88,7 +109,7 @@ def arc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         if fields is None:
             if not header["URL"].startswith("filedesc:"):
                 raise ValueError("no version block")
-            lines = content.decode("utf-8").split("\n")
+            lines = text_of(content).split("\n")
             version = int(lines[0].split(" ")[0])
             fields = lines[1].strip().split(" ")
             if fields != FIELDS.get(version):
@@ -106,19 +127,27 @@ def warc_date(arc_date: str) -> str:
 
 
 def record_id(url: str, date: str, content: bytes) -> str:
-    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(f'{url} {date} '.encode() + content).digest()[:16], version=5)}>"
+    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(bytes_of(f'{url} {date} ') + content).digest()[:16], version=5)}>"
+
+
+def split_http(block: bytes) -> tuple[dict[str, str], bytes, bytes] | None:
+    """Header fields (names in lower case), head and body of an HTTP message; None for other blocks."""
+    if not block.startswith(b"HTTP/"):
+        return None
+    gap = re.search(rb"\r?\n\r?\n", block)
+    end = gap.end() if gap else len(block)
+    lines = [text_of(line).partition(":") for line in block[:end].splitlines()[1:]]
+    return {name.strip().lower(): value.strip() for name, colon, value in lines if colon}, block[:end], block[end:]
 
 
-def split_http(block: bytes) -> tuple[dict[str, str], bytes, bytes]:
-    """Header fields, head and body of an HTTP message."""
-    head, gap, body = block.partition(b"\r\n\r\n")
-    fields = dict(line.split(": ", 1) for line in head.decode("utf-8").split("\r\n")[1:])
-    return fields, head + gap, body
+def number(text: str | None) -> int | None:
+    """An id of 64 bits, if the text is one."""
+    return int(text) if text and re.fullmatch("-?[0-9]{1,19}", text) and -(2**63) <= int(text) < 2**63 else None
 
 
 def warc_record(fields: dict[str, str], block: bytes) -> bytes:
     lines = ["WARC/1.1", *(f"{k}: {v}" for k, v in fields.items()), f"WARC-Block-Digest: sha1:{sha1(block)}", f"Content-Length: {len(block)}"]
-    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+    return bytes_of("\r\n".join(lines)) + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
 def converted(header: dict[str, str], content: bytes, original: tuple[str, str, str] | None = None) -> bytes:
@@ -128,11 +157,14 @@ def converted(header: dict[str, str], content: bytes, original: tuple[str, str,
     if url.startswith("filedesc:"):
         block = f"software: loamline\r\nformat: WARC File Format 1.1\r\nconverted-from: {url}\r\n".encode()
         return warc_record(fields | {"Content-Type": "application/warc-fields"}, block)
-    _, head, body = split_http(content)
+    http = split_http(content)
+    if http is None:
+        return warc_record(fields | {"WARC-Type": "resource", "WARC-Target-URI": url, "WARC-IP-Address": header["IP-address"], "Content-Type": header["Content-type"], "WARC-Payload-Digest": f"sha1:{sha1(content)}"}, content)
+    _, head, body = http
     fields |= {"WARC-Type": "revisit" if original else "response", "WARC-Target-URI": url, "WARC-IP-Address": header["IP-address"], "Content-Type": "application/http;msgtype=response", "WARC-Payload-Digest": f"sha1:{sha1(body)}"}
     if original is None:
         return warc_record(fields, content)
-    fields |= {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "WARC-Refers-To": original[0], "WARC-Refers-To-Target-URI": original[1], "X-Refers-To-Page-Id": original[2]}
+    fields |= {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "WARC-Refers-To": original[0], "WARC-Refers-To-Target-URI": original[1], "X-Refers-To-Page-Id": original[2], "X-Payload-Length": str(len(body))}
     return warc_record(fields, head)
 
 
@@ -140,15 +172,15 @@ def warc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     at = 0
     while at < len(data):
         end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode("utf-8").split("\r\n")
+        lines = text_of(data[at:end]).split("\r\n")
         if not lines[0].startswith("WARC/1."):
             raise ValueError(f"no WARC record at byte {at}")
-        fields = dict(line.split(": ", 1) for line in lines[1:])
+        fields = {name.strip(): value.strip() for name, colon, value in (line.partition(":") for line in lines[1:]) if colon}
         size = int(fields["Content-Length"])
         block = data[end + 4 : end + 4 + size]
         if len(block) != size or data[end + 4 + size : end + 8 + size] != b"\r\n\r\n":
             raise ValueError(f"the record at byte {at} isn't {size} bytes long")
-        if fields["WARC-Block-Digest"] != f"sha1:{sha1(block)}":
+        if fields.get("WARC-Block-Digest", "").startswith("sha1:") and fields["WARC-Block-Digest"] != f"sha1:{sha1(block)}":
             raise ValueError(f"digest of the record at byte {at}")
         yield fields, block
         at = end + 8 + size
@@ -162,8 +194,8 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _write(archives: DataFrame, path: str, end: str) -> None:
-    """One file for each row, which ends with ``end``; the writer puts that back."""
-    archives.write.option("maxRecordsPerFile", 1).option("lineSep", end).option("compression", "gzip").text(path)
+    """One file for each row of bytes, which ends with ``end``; the writer puts that back."""
+    archives.select(F.col("value").cast("string")).write.option("maxRecordsPerFile", 1).option("lineSep", end).option("compression", "gzip").text(path)
 
 
 def write_arc(pages: DataFrame, path: str, version: int = 1, archive_bytes: int = ARCHIVE_BYTES) -> None:
@@ -173,7 +205,7 @@ def write_arc(pages: DataFrame, path: str, version: int = 1, archive_bytes: int
         held, size = [], 0
 
         def whole() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([arc_file(held, version)[:-1].decode("utf-8")], pa.large_string()).cast(pa.string())], names=["value"])
+            return pa.RecordBatch.from_arrays([pa.array([arc_file(held, version)[:-1]], pa.binary())], names=["value"])
 
         for b in pieces(batches, archive_bytes, "html"):
             for page, url, html in zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in ("page_id", "url", "html")), strict=True):
@@ -187,23 +219,24 @@ def write_arc(pages: DataFrame, path: str, version: int = 1, archive_bytes: int
         if held:
             yield whole()
 
-    _write(pages.select("page_id", "url", "html").mapInArrow(run, "value string"), path, "\n")
+    _write(pages.select("page_id", "url", "html").mapInArrow(run, "value binary"), path, "\n")
 
 
 def arc_index(spark: SparkSession, path: str) -> DataFrame:
     """What deciding on revisits needs of each record: path, seq, url, id, page_id, digest and length."""
-    schema = "path string, seq int, url string, id string, page_id long, payload string"
+    schema = "path string, seq int, url binary, id string, page_id long, payload string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for file, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 rows = []
                 for i, (h, content) in enumerate(arc_records(gzip.decompress(data.as_py()))):
-                    if not h["URL"].startswith("filedesc:"):
-                        f, _, body = split_http(content)
-                        rows.append((file, i, h["URL"], record_id(h["URL"], warc_date(h["Archive-date"]), content), int(f["X-Page-Id"]) if f["X-Page-Id"] else None, f"{sha1(body)}:{len(body)}"))
+                    http = split_http(content)
+                    if http is not None and not h["URL"].startswith("filedesc:"):
+                        f, _, body = http
+                        rows.append((file, i, bytes_of(h["URL"]), record_id(h["URL"], warc_date(h["Archive-date"]), content), number(f.get("x-page-id")), f"{sha1(body)}:{len(body)}"))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.string()), strict=True)], names=["path", "seq", "url", "id", "page_id", "payload"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int32(), pa.binary(), pa.string(), pa.int64(), pa.string()), strict=True)], names=["path", "seq", "url", "id", "page_id", "payload"])
 
     return _files(spark, path).mapInArrow(run, schema)
 
@@ -225,12 +258,12 @@ def arc_to_warc(spark: SparkSession, arc: str, warc: str, least_bytes: int = 0)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for data, originals in zip(b.column(0), b.column(1), strict=True):
-                of = {o["seq"]: (o["id"], o["url"], o["page"]) for o in originals.as_py() or ()}
+                of = {o["seq"]: (o["id"], text_of(o["url"]), o["page"]) for o in originals.as_py() or ()}
                 out = b"".join(converted(h, c, of.get(i)) for i, (h, c) in enumerate(arc_records(gzip.decompress(data.as_py()))))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array([out[:-2].decode("utf-8")], pa.string())], names=["value"])
+                    yield pa.RecordBatch.from_arrays([pa.array([out[:-2]], pa.binary())], names=["value"])
 
-    _write(work.mapInArrow(run, "value string"), warc, "\r\n")
+    _write(work.mapInArrow(run, "value binary"), warc, "\r\n")
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -238,18 +271,22 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, url string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = lambda x: int(x) if x else None
         for b in batches:
             for data in b.column(0):
                 rows = []
                 for f, block in warc_records(gzip.decompress(data.as_py())):
-                    if f["WARC-Type"] not in ("response", "revisit"):
+                    if f["WARC-Type"] not in ("response", "revisit", "resource"):
                         continue
-                    http, _, body = split_http(block)
-                    digest, size = f["WARC-Payload-Digest"].removeprefix("sha1:"), int(http["Content-Length"])
-                    if f["WARC-Type"] == "response" and (size != len(body) or digest != sha1(body)):
-                        raise ValueError(f"payload of {f['WARC-Record-ID']}")
-                    rows.append((number(http["X-Page-Id"]), size, digest, f["WARC-Type"], number(f.get("X-Refers-To-Page-Id")), f["WARC-Record-ID"], f["WARC-Target-URI"]))
+                    http, _, body = split_http(block) or ({}, b"", block)
+                    again = f["WARC-Type"] == "revisit"
+                    size = number(f.get("X-Payload-Length", http.get("content-length"))) if again else len(body)
+                    digest = f.get("WARC-Payload-Digest", "")
+                    if not again:
+                        own = sha1(body)
+                        if digest.startswith("sha1:") and digest != f"sha1:{own}":
+                            raise ValueError(f"payload of {f['WARC-Record-ID']}")
+                        digest = own
+                    rows.append((number(http.get("x-page-id")), size, digest.removeprefix("sha1:"), f["WARC-Type"], number(f.get("X-Refers-To-Page-Id")), f["WARC-Record-ID"], shown(f["WARC-Target-URI"])))
                 if rows:
                     types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string())
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=[x.split(" ")[0] for x in schema.split(", ")])

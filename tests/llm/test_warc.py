@@ -1,4 +1,5 @@
 import base64
+import gzip
 import hashlib
 
 import pytest
@@ -42,3 +43,25 @@ def test_formats():
     for bad in (b"http://a/ 0.0.0.0 1 t 3\nabc\n", data[:-9], data.replace(b"2 0", b"1 0", 1)):
         with pytest.raises(ValueError):
             list(w.arc_records(bad))
+
+
+def test_foreign_archives(spark, tmp_path):
+    png = b"\x89PNG\r\n\x1a\n" + bytes(range(256)) * 9
+    latin = b"HTTP/1.0 200 OK\r\nServer: caf\xe9\r\nno colon here\r\nX-Folded:tight\r\n\r\n<p>d\xe9j\xe0 vu</p>"
+    records = [("http://a/one two", "text/html", latin), ("http://a/\udce9", "text/html", b"HTTP/1.1 200 OK\nA: b\n\nbody"), ("http://a/x.png", "image/png", b"HTTP/1.1 200 OK\r\nContent-Length: 9999\r\n\r\n" + png)]
+    records += [("dns:a", "text/dns", b"20240101 a. IN A 1.2.3.4\n\xff"), ("http://a/cut", "text/html", b"HTTP/1.1 204 No Content"), ("http://a/again", "text/html", latin)]
+    head = "1 0 loamline\n" + " ".join(w.FIELDS[1]) + "\n\n"
+    lines = [f"filedesc://a.arc 0.0.0.0 {w.DATE} text/plain {len(head)}\n{head}\n".encode()]
+    lines += [w.bytes_of(f"{u} 0.0.0.0 {w.DATE} {k} {len(c)}\n") + c + b"\n" for u, k, c in records]
+    (tmp_path / "arc").mkdir()
+    (tmp_path / "arc" / "a.arc.gz").write_bytes(gzip.compress(b"".join(lines)))
+    w.arc_to_warc(spark, str(tmp_path / "arc"), str(tmp_path / "warc"))
+    (file,) = (tmp_path / "warc").glob("*.gz")
+    found = list(w.warc_records(gzip.decompress(file.read_bytes())))
+    assert [b for _, b in found[1:]] == [c for _, _, c in records]
+    assert [f["WARC-Type"] for f, _ in found] == ["warcinfo", "response", "response", "response", "resource", "response", "response"]
+    assert [f["WARC-Target-URI"] for f, _ in found[1:]] == [u for u, _, _ in records]
+    rows = w.read_warc(spark, str(tmp_path / "warc")).collect()
+    digests = {r["url"]: r["payload_digest"] for r in rows}
+    assert digests["http://a/x.png"] == w.sha1(png) and digests["dns:a"] == w.sha1(records[3][2]) and digests["http://a/cut"] == w.sha1(b"")
+    assert all(r["page_id"] is None and r["refers_to"] is None for r in rows)
