@@ -21,7 +21,9 @@ are wholly equal get different slots. An empty table gives no rows.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -61,17 +63,14 @@ def splitters(keys: DataFrame, intervals: int, tolerance: float) -> list[tuple[i
     while (open_ := [t for t in targets if t.key is None]) and total:
         cells = keys
         if bits > FIRST_BITS:
-            held = literal_table(spark, [(p,) for p in sorted({t.prefix for t in open_})], {"_p": "long"})
+            held = spark.range(1).select(F.explode(longs(sorted({t.prefix for t in open_}))).alias("_p"))
             cells = keys.withColumn("_p", F.shiftright("_h", 64 - bits + step)).join(F.broadcast(held), "_p", "left_semi")
         counted = cells.groupBy(F.shiftright("_h", 64 - bits).alias("p")).agg(F.sum("size").alias("n"), F.min("_h").alias("a"), F.max("_h").alias("z")).orderBy("p").collect()
-        in_group = []
+        in_group, at, sums = [], [c["p"] for c in counted], [0, *accumulate(c["n"] for c in counted)]
         for t in open_:
-            mine = [c for c in counted if t.prefix is None or c["p"] >> step == t.prefix]
-            for c in mine:
-                if t.below + c["n"] >= t.wanted or c is mine[-1]:
-                    break
-                t.below += c["n"]
-            t.prefix = c["p"]
+            low, high = (0, len(at)) if t.prefix is None else (bisect_left(at, t.prefix << step), bisect_left(at, (t.prefix + 1) << step))
+            i = min(high - 1, bisect_left(sums, t.wanted - t.below + sums[low], low + 1, high + 1) - 1)
+            c, t.below, t.prefix = counted[i], t.below + sums[i] - sums[low], at[i]
             if c["n"] <= within:
                 nearer_end = t.below + c["n"] - t.wanted < t.wanted - t.below
                 t.key = (c["z"] + 1 if nearer_end and c["z"] < 2**63 - 1 else c["a"], LEAST)
@@ -98,9 +97,11 @@ def by_id(keys: DataFrame, targets: list[tuple[Target, int]], within: float, par
         spans_df = F.broadcast(literal_table(spark, [(h, a, w, a + w * parts) for h, a, w in spans], {"_h": "long", "a": "decimal(20,0)", "w": "decimal(20,0)", "e": "decimal(20,0)"}))
         d = F.col("_d").cast("decimal(20,0)")
         cells = group.join(spans_df, "_h").where((d >= F.col("a")) & (d < F.col("e"))).groupBy("_h", "a", F.floor((d - F.col("a")) / F.col("w")).cast("long").alias("i")).agg(F.sum("size").alias("n"), F.min("_d").alias("first"), F.max("_d").alias("last")).orderBy("_h", "a", "i").collect()
-        left = []
+        left, of = [], {}
+        for c in cells:
+            of.setdefault((c["_h"], int(c["a"])), []).append(c)
         for t, h, a, z in open_:
-            mine = [c for c in cells if c["_h"] == h and int(c["a"]) == a]
+            mine = of[h, a]
             for c in mine:
                 if t.below + c["n"] >= t.wanted or c is mine[-1]:
                     break
@@ -113,10 +114,25 @@ def by_id(keys: DataFrame, targets: list[tuple[Target, int]], within: float, par
         open_ = left
 
 
-def interval_of(found: list[tuple[int, int]]) -> F.Column:
-    """The number of splitters at or below a row's key, by halving."""
+def longs(values: list[int]) -> F.Column:
+    """An array of constants that is one short expression, however many there are."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
+
+
+def interval_of(found: list[tuple[int, int]], most_cases: int = 256) -> F.Column:
+    """The number of splitters at or below a row's key, by halving: in compiled cases, or for many splitters in arrays."""
     if not found:
         return F.lit(0)
+    if len(found) > most_cases:
+        hs, ds = longs([h for h, _ in found]), longs([d for _, d in found])
+
+        def further(n: F.Column, by: F.Column) -> F.Column:
+            # Beyond the end there is null, which is not below.
+            h, d = F.get(hs, n + by - 1), F.get(ds, n + by - 1)
+            return F.when((h < F.col("_h")) | ((h == F.col("_h")) & (d <= F.col("_d"))), n + by).otherwise(n)
+
+        powers = [1 << k for k in reversed(range(len(found).bit_length()))]
+        return F.aggregate(F.array(*map(F.lit, powers)), F.lit(0), further)
 
     def below(low: int, high: int) -> F.Column:
         if low == high:
@@ -135,7 +151,7 @@ def shards(docs: DataFrame, n: int = SHARDS, tolerance: float = TOLERANCE, rows_
     count, total = keys.agg(F.count("*"), F.sum("size")).first()
     runs = max(1, -(-count // (n * rows_per_task)), -(-(total or 0) // (n * BYTES_PER_TASK)))
     found = splitters(keys, n * runs, tolerance)
-    rows = dict(keys.groupBy(interval_of(found)).count().collect())
+    rows = dict(keys.groupBy(interval_of(found).alias("i")).count().collect())
     offsets, at = [], 0
     for i in range(n * runs):
         at = 0 if i % runs == 0 else at
@@ -144,7 +160,7 @@ def shards(docs: DataFrame, n: int = SHARDS, tolerance: float = TOLERANCE, rows_
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *(c.alias(name) for name, c in keyed().items()))
     dealt = whole.withColumn("_i", interval_of(found))
     order = Window.partitionBy("_i").orderBy("_h", "_d", "row.text")
-    first = F.element_at(F.array(*(F.lit(x).cast("long") for x in offsets)), F.col("_i") + 1)
+    first = F.element_at(longs(offsets), F.col("_i") + 1)
     return dealt.withColumn("slot", first + F.row_number().over(order) - 1).select(
         "row", F.col("row.doc_id").alias("doc_id"), size_of("row.text").alias("size"), F.crc32(F.coalesce(F.col("row.text").cast("binary"), F.lit(b""))).alias("text_crc32"),
         F.lit("bytes").alias("law"), F.floor(F.col("_i") / runs).cast("int").alias("shard"), F.col("slot").cast("long"), F.lit(None).cast("int").alias("grown_shard"),
