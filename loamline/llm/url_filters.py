@@ -10,8 +10,11 @@ sorted together by host and path. The sweep over them carries the last rule
 that began, with the stack of rules that it is nested in. A URL pops from the
 stack what ended before it, and what is left on top is its rule.
 
-A host may hold a third of all URLs: its keys are dealt to salts, and each salt
-gets a copy of the host's rules. Hosts without rules drop out before the sort.
+A host may hold a third of all URLs: the keys of each host are counted, those of
+one with more than ``keys_per_salt`` are dealt to as many salts as they need, and each
+of its salts gets a copy of its rules. Hosts without rules drop out before the sort.
+URLs are numbered and stored once, so that a part that is computed again after a
+lost executor has the same numbers.
 
 Nulls, and URLs without ``://``, have an empty host and path and get the
 default verdict. Repeated rows are judged each. Rules that are repeated count
@@ -24,7 +27,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import literal_table, table
+from .common import heavy_lookup, literal_table, stored, table
+
+KEYS_PER_SALT = 200_000
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
@@ -56,21 +61,21 @@ def nested(rules: DataFrame) -> DataFrame:
     return prefixes.join(outer, ["canon", "outer_path"]).groupBy("canon", "inner_path").agg(F.sort_array(F.collect_list("rule"), asc=False).alias("stack"))
 
 
-def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", salts: int | None = None) -> DataFrame:
+def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", keys_per_salt: int = KEYS_PER_SALT) -> DataFrame:
     """pages (page_id, url) with host, path, rule and verdict."""
-    spark = pages.sparkSession
-    salts = salts or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     host, path = host_and_path()
     ruled = nested(rules)
-    urls = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("row", F.monotonically_increasing_id())
+    urls, _ = stored(pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("row", F.monotonically_increasing_id()), "urls")
     urls = urls.withColumn("labels", reversed_labels(F.col("host")))
     # "" stands for the row itself: it meets no rule and keeps URLs without any.
     keys = urls.withColumn("canon", F.explode(F.expr("concat(array(cast(null as string)), transform(sequence(1, size(labels)), n -> array_join(slice(labels, 1, n), '.')))"))).drop("labels")
-    ruled_hosts = ruled.select("canon").distinct()
-    keys = keys.where("canon is null").unionByName(keys.where("canon is not null").join(ruled_hosts, "canon", "left_semi"))
-    salt = F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int")
+    met = keys.where("canon is not null").groupBy("canon").agg(F.count("*").alias("n")).join(ruled.select("canon").distinct(), "canon", "left_semi")
+    hosts, _ = stored(met.withColumn("salts", F.ceil(F.col("n") / keys_per_salt).cast("int")), "ruled-hosts")
+    # Keys without facts have no rule; the row itself stays.
+    keys = heavy_lookup(keys, hosts, "canon", "n").where("canon is null or salts is not null")
+    salt = F.when(F.col("canon").isNull(), F.pmod(F.xxhash64("row"), F.lit(1 << 20))).otherwise(F.pmod(F.xxhash64("row"), F.col("salts"))).cast("int")
     events = keys.select("canon", "path", F.lit(1).alias("kind"), salt.alias("salt"), "row", "page_id", "host", F.lit(None).cast("array<struct<path:string,host:string,verdict:string>>").alias("begun"))
-    begins = ruled.select("canon", F.col("inner_path").alias("path"), F.lit(0).alias("kind"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(None).cast("long").alias("row"), F.lit(None).cast("long").alias("page_id"), F.lit(None).cast("string").alias("host"), F.col("stack").alias("begun"))
+    begins = ruled.join(hosts, "canon").select("canon", F.col("inner_path").alias("path"), F.lit(0).alias("kind"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("row"), F.lit(None).cast("long").alias("page_id"), F.lit(None).cast("string").alias("host"), F.col("stack").alias("begun"))
     sweep = Window.partitionBy("canon", "salt").orderBy("path", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     swept = events.unionByName(begins).withColumn("stack", F.last("begun", ignorenulls=True).over(sweep)).where("kind = 1")
     top = F.expr("get(filter(stack, r -> startswith(path, r.path)), 0)")
