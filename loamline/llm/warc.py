@@ -1,7 +1,7 @@
 """A converter from the legacy ARC format to WARC, and readers and writers of both.
 
 Archives are files in the shared folder, written by Spark's committing text
-writer (gzip) and read as binary files. Each holds about ``ARCHIVE_BYTES`` of
+writer (gzip at its fastest level) and read as binary files. Each holds about ``ARCHIVE_BYTES`` of
 records, or one longer record, so memory is bounded by that.
 
 An ARC file begins with a version block, whose second line names the version and
@@ -195,7 +195,7 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 
 def _write(archives: DataFrame, path: str, end: str) -> None:
     """One file for each row of bytes, which ends with ``end``; the writer puts that back."""
-    archives.select(F.col("value").cast("string")).write.option("maxRecordsPerFile", 1).option("lineSep", end).option("compression", "gzip").text(path)
+    archives.select(F.col("value").cast("string")).write.option("maxRecordsPerFile", 1).option("lineSep", end).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
 def write_arc(pages: DataFrame, path: str, version: int = 1, archive_bytes: int = ARCHIVE_BYTES) -> None:
