@@ -54,6 +54,12 @@ def near(files: DataFrame, threshold: float = 0.92) -> DataFrame:
     return out.select("path", "family", F.when(is_ok, "canonical").otherwise("near").alias("dup_type"), F.when(is_ok, F.col("path")).otherwise(F.col("canonical_source")).alias("canonical_source"), F.when(is_ok, F.lit(1.0)).otherwise(F.col("similarity_score")).alias("similarity_score"))
 
 
+def summary(files: DataFrame) -> DataFrame:
+    """Files and characters by dup_type (path, content, dup_type), and how many characters copies save."""
+    size = F.coalesce(F.length("content"), F.lit(0)).cast("long")
+    return files.groupBy("dup_type").agg(F.count("*").alias("n"), F.sum(size).alias("chars"), F.sum(F.when(F.col("dup_type") == "canonical", F.lit(0)).otherwise(size)).cast("long").alias("saved"))
+
+
 def first_of(samples: DataFrame, keys: list[str], order: str = "seq") -> DataFrame:
     """The first row of each key."""
     return samples.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(order))).where("_n = 1").drop("_n")

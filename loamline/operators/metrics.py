@@ -62,6 +62,43 @@ def artifact_audit(rows: DataFrame, most_streak: int, most_repeated: float) -> D
     return out.withColumn("passed", F.col("failing") == 0)
 
 
+def quality_checks(figures: DataFrame, most_share: float, need_input: list[str], targets: dict[str, int]) -> DataFrame:
+    """The eight checks of a refined set on one row of figures, and whether all hold.
+
+    figures: malformed, yaml_short_share, largest_share, p95, ambiguous_ratio, duplicate_ratio, and the maps
+    empty_share (by type) and coverage (by category). Types and categories that a map lacks count 0.
+    """
+    def figure(of: str, key: str) -> Column:
+        return F.coalesce(F.try_element_at(of, F.lit(key)), F.lit(0))
+
+    made = {
+        # Fixed values.
+        "malformed_instruction_class_slot": F.col("malformed") <= 50,
+        "yaml_too_short_share": F.col("yaml_short_share") <= 0.10,
+        "drupal_core_train_share": F.col("largest_share") <= most_share,
+        "train_output_p95": F.col("p95") <= 9000,
+        "ambiguous_pair_ratio": F.col("ambiguous_ratio") <= 0.01,
+        "normalized_output_duplicate_ratio": F.col("duplicate_ratio") <= 0.01,
+        "empty_input_share_by_type": every([figure("empty_share", k) <= 0.01 for k in need_input]),
+        "weak_category_coverage": every([figure("coverage", k) >= n for k, n in targets.items()]),
+    }
+    out = figures.select(*(F.coalesce(v, F.lit(False)).alias(k) for k, v in made.items()))
+    return out.withColumn("overall_passed", every([F.col(k) for k in made]))
+
+
+def every(tests: list[Column]) -> Column:
+    out = F.lit(True)
+    for x in tests:
+        out = out & x
+    return out
+
+
+def failed_checks(card: DataFrame) -> DataFrame:
+    """Names of the checks that a scorecard fails; a set with any must not be trained on."""
+    names = [c for c in card.columns if c != "overall_passed"]
+    return card.select(F.explode(F.array_compact(F.array(*(F.when(~F.col(c), F.lit(c)) for c in names)))).alias("failed"))
+
+
 def scorecard(values: DataFrame, checks: dict[str, tuple[str, str, float]]) -> DataFrame:
     """One row of figures held against limits: name -> (column, '<=' or '>=', limit); and whether all hold."""
     made = {name: (F.col(col) <= limit) if op == "<=" else (F.col(col) >= limit) for name, (col, op, limit) in checks.items()}

@@ -13,6 +13,26 @@ def field(node: Column, *names: str) -> Column:
     return F.coalesce(*(x for n in names for x in (F.get_json_object(node, f"$.{n}.value"), F.when(~F.coalesce(F.get_json_object(node, f"$.{n}"), F.lit("{")).startswith("{"), F.get_json_object(node, f"$.{n}")))))
 
 
+def composer_metadata(files: DataFrame) -> DataFrame:
+    """Constraints of each project from the first of its branches whose file is there.
+
+    files: machine_name, branch, place (order of preference) and content, null or empty where the branch has no file.
+    A first file that isn't a JSON object gives nulls: later branches aren't looked at.
+    """
+    there = files.where(F.coalesce(F.length("content"), F.lit(0)) > 0)
+    first = there.groupBy("machine_name").agg(F.min_by(F.struct("branch", "content"), "place").alias("f")).select("machine_name", "f.*")
+    wide = F.try_parse_json("content")
+    read = first.withColumns({"_v": wide, "_map": F.try_variant_get(wide, "$", "map<string,variant>")})
+    part = lambda name: F.try_variant_get("_v", f"$['{name}']", "map<string,variant>")
+    value = lambda m, key: F.nullif(F.try_variant_get(F.try_element_at(m, F.lit(key)), "$", "string"), F.lit(""))
+    need, dev = part("require"), part("require-dev")
+    tests = F.exists(F.coalesce(F.map_keys(dev), F.array().cast("array<string>")), lambda k: F.contains(F.lower(k), F.lit("phpunit")))
+    return read.select(
+        "machine_name", F.when(F.col("_map").isNotNull(), F.col("branch")).alias("branch"), F.coalesce(value(need, "drupal/core"), value(need, "drupal/core-recommended")).alias("core_constraint"),
+        value(need, "php").alias("php_constraint"), F.when(F.col("_map").isNotNull(), tests).alias("has_tests"),
+    )
+
+
 def core_supported(constraint: Column, major: int = 11) -> Column:
     return F.coalesce(constraint.rlike(f"(^|[^0-9])\\^?{major}(\\.|$)"), F.lit(False))
 

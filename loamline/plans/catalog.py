@@ -81,8 +81,7 @@ def fl01_gate(spark, sf):
 
 
 def ag02_gate_report(spark, sf):
-    rules = gate.stateless(samples(spark, sf), GATE).withColumn("rejection_reason", F.coalesce("before", "after"))
-    return metrics.reasons_report(rules).select(F.coalesce("type", F.lit("*")).alias("type"), F.coalesce("rejection_reason", F.lit("*")).alias("reason"), "n", "level")
+    return metrics.reasons_report(gate.gated(samples(spark, sf), GATE)).select(F.coalesce("type", F.lit("*")).alias("type"), F.coalesce("rejection_reason", F.lit("*")).alias("reason"), "n", "level")
 
 
 def fl10_validation(spark, sf):
@@ -210,8 +209,28 @@ def fn17_scores(spark, sf):
 
 def ag15_scorecard(spark, sf):
     s = samples(spark, sf)
-    values = metrics.duplicate_ratio(s).join(F.broadcast(metrics.ambiguity(s)))
-    return metrics.scorecard(values, {"duplicates_ok": ("duplicate_ratio", "<=", 0.05), "ambiguity_ok": ("row_ratio", "<=", 0.02), "some_pairs": ("pairs", ">=", 0)})
+    yaml = F.col("type") == "yaml_reference"
+    plain = s.agg(
+        F.count_if(F.col("instruction").rlike("class c[0-9]")).alias("malformed"), (F.count_if(yaml & (F.length("output") < 20)) / F.count_if(yaml)).alias("yaml_short_share"), (F.count_if(F.col("lang") == "en") / F.count("*")).alias("largest_share"),
+        F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY length(output))").alias("p95"), F.create_map(F.lit("yaml_reference"), F.count_if(yaml & (F.trim("input") == "")) / F.count_if(yaml)).alias("empty_share"),
+        F.create_map(F.lit("a"), F.count_if(F.contains("output", F.lit("license")))).alias("coverage"),
+    )
+    figures = plain.join(F.broadcast(metrics.duplicate_ratio(s))).join(F.broadcast(metrics.ambiguity(s).withColumnRenamed("row_ratio", "ambiguous_ratio")))
+    return metrics.quality_checks(figures, 0.45, ["yaml_reference"], {"a": 3, "none": 0})
+
+
+def fl22_failed_checks(spark, sf):
+    return metrics.failed_checks(ag15_scorecard(spark, sf))
+
+
+def sc11_metadata(spark, sf):
+    made = "CASE (doc_id + place) % 4 WHEN 0 THEN CAST(NULL AS STRING) WHEN 1 THEN concat('{\"require\": {\"drupal/core\": \"^', doc_id % 12, '\", \"php\": \">=8.', doc_id % 4, '\"}, \"require-dev\": {\"PHPUnit/phpunit\": \"*\"}}') WHEN 2 THEN '{\"require\": {\"drupal/core-recommended\": \"^11\"}}' ELSE '{\"require\": ' END"
+    files = docs(spark, sf).where("doc_id is not null").selectExpr("concat('m', doc_id) AS machine_name", "doc_id", "explode(array(0, 1)) AS place").selectExpr("machine_name", "concat('b', place) AS branch", "place", f"{made} AS content")
+    return projects.composer_metadata(files)
+
+
+def ag13_dedup_summary(spark, sf):
+    return dedup.summary(wn02_exact_dedup(spark, sf).join(docs(spark, sf).select(F.format_string("f%06d.md", "doc_id").alias("path"), F.col("text").alias("content")), "path"))
 
 
 # --- sources -----------------------------------------------------------------
@@ -334,7 +353,7 @@ QUERIES = {
     for f in (
         fn01_normalize, fn05_hashes, fn07_code_blocks, fn14_format_sanity, pj18_paths, fn21_labels, fl01_gate_rules, fl01_gate, ag02_gate_report, fl10_validation, fl13_categories, fl21_audit, wn14_line_chunks, wn15_char_chunks, wn01_first_pairs,
         wn02_exact_dedup, wn03_near_dedup, wn04_ranked_dedup, wn07_split, wn08_rebalance, wn09_share_cap, wn10_quota, wn11_round_robin, wn12_grouped_split, wn17_turn_pairs, ag04_percentiles, ag05_empty_inputs, ag06_ambiguity, ag07_duplicates, ag08_concentration,
-        ag12_evaluation, ag11_feedback, fn17_scores, ag15_scorecard, sc15_storage_paths, sc16_links, fn03_markdown, fl19_discovery, so01_ranking, pj05_doc_samples, pj01_code_samples, pj06_dispatch, fl12_candidates, fl09_prefixes, wn13_feedback, wn16_length,
+        ag12_evaluation, ag11_feedback, fn17_scores, ag15_scorecard, fl22_failed_checks, sc11_metadata, ag13_dedup_summary, sc15_storage_paths, sc16_links, fn03_markdown, fl19_discovery, so01_ranking, pj05_doc_samples, pj01_code_samples, pj06_dispatch, fl12_candidates, fl09_prefixes, wn13_feedback, wn16_length,
         pj12_broken, pj13_augmented, fl20_checks, sc12_branches, sc19_prefixes, ag17_fetches, st01_sets,
     )
 }

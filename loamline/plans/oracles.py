@@ -36,6 +36,17 @@ AFTER = rf"""CASE
   WHEN contains(lower(instruction), 'explain the following topic') AND ({' OR '.join(f"contains({TOPIC}, '{x}')" for x in c.gate.IRRELEVANT_TOPICS)}) THEN 'irrelevant_topic'
   WHEN len({LINES}) < 3 AND length(output) < 500 THEN 'insufficient_detail'
   WHEN contains(output, '<?php') AND NOT contains(output, 'namespace') AND NOT contains(output, 'hook_') THEN 'missing_namespace_in_php' END"""
+# One pass in order: outputs and pairs accepted so far.
+GATED = f"""{W.replace('WITH', 'WITH RECURSIVE', 1)}, k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY seq) AS i, seq, type, {BEFORE} AS b, {AFTER} AS a, hash(output) AS h, hash(trim(instruction, ' ' || chr(10)) || chr(1) || trim(input)) AS p FROM samples),
+  walk AS (SELECT 0::BIGINT AS i, NULL::BIGINT AS seq, NULL::VARCHAR AS type, NULL::VARCHAR AS reason, []::UBIGINT[] AS hs, []::UBIGINT[] AS ps, []::UBIGINT[] AS pairs
+    UNION ALL SELECT i, seq, type, reason, CASE WHEN reason IS NULL THEN list_append(hs, h) ELSE hs END, CASE WHEN reason IS NULL THEN list_append(ps, p) ELSE ps END, CASE WHEN reason IS NULL THEN list_append(pairs, hash(p, h)) ELSE pairs END
+    FROM (SELECT k.*, hs, ps, pairs, CASE WHEN list_contains(ps, p) AND NOT list_contains(pairs, hash(p, h)) THEN 'ambiguous_instruction_input_pair' WHEN b IS NOT NULL THEN b WHEN list_contains(hs, h) THEN 'near_duplicate_content' ELSE a END AS reason FROM walk JOIN k ON k.i = walk.i + 1))"""
+CHECKS = ["malformed_instruction_class_slot", "yaml_too_short_share", "drupal_core_train_share", "train_output_p95", "ambiguous_pair_ratio", "normalized_output_duplicate_ratio", "empty_input_share_by_type", "weak_category_coverage"]
+CARD = rf"""{W}, p AS (SELECT count(DISTINCT sha256({COLLAPSED})) AS k, count(*) AS n FROM samples GROUP BY trim(instruction, ' ' || chr(10)), trim(input)),
+  v AS (SELECT (SELECT round((count(*) - count(DISTINCT {COLLAPSED})) / count(*)::DOUBLE, 4) FROM samples) AS d, round(coalesce(sum(n) FILTER (k > 1), 0) / sum(n)::DOUBLE, 4) AS a FROM p), y AS (SELECT * FROM samples WHERE type = 'yaml_reference'),
+  card AS (SELECT (SELECT count(*) FROM samples WHERE regexp_matches(instruction, 'class c[0-9]')) <= 50 AS malformed_instruction_class_slot, (SELECT avg(CAST(length(output) < 20 AS INT)) FROM y) <= 0.1 AS yaml_too_short_share,
+    (SELECT avg(CAST(lang = 'en' AS INT)) FROM samples) <= 0.45 AS drupal_core_train_share, (SELECT quantile_disc(length(output), 0.95) FROM samples) <= 9000 AS train_output_p95, a <= 0.01 AS ambiguous_pair_ratio, d <= 0.01 AS normalized_output_duplicate_ratio,
+    (SELECT avg(CAST(trim(input) = '' AS INT)) FROM y) <= 0.01 AS empty_input_share_by_type, (SELECT count(*) FROM samples WHERE contains(output, 'license')) >= 3 AS weak_category_coverage FROM v)"""
 KIND = r"coalesce(nullif(regexp_extract(output, '\b(class|interface|trait|enum)\s+([A-Za-z_][A-Za-z0-9_]*)', 1), ''), CASE WHEN lower(source) LIKE '%interface.php' THEN 'interface' WHEN lower(source) LIKE '%trait.php' THEN 'trait' WHEN lower(source) LIKE '%enum.php' THEN 'enum' ELSE 'class' END)"
 VALID = rf"""CASE
   WHEN type = 'yaml_reference' AND trim(input) = '' THEN 'missing_context_input'
@@ -73,7 +84,8 @@ SQL = {
         c AS (SELECT *, list_transform(ids, lambda x, i: CASE WHEN len(ids) >= 4 AND i > 4 THEN x ELSE -100 END) AS labels FROM b)
         SELECT doc_id, array_to_string(list_resize(ids, size, 0), ',') AS ids, array_to_string(list_resize(labels, size, -100), ',') AS labels FROM c""",
     "fl01_gate_rules": f"{W} SELECT seq, {BEFORE} AS before, {AFTER} AS after FROM samples",
-    "ag02_gate_report": f"{W}, g AS (SELECT type, coalesce({BEFORE}, {AFTER}) AS r FROM samples) SELECT coalesce(type, '*') AS type, coalesce(r, '*') AS reason, count(*) AS n, CAST(grouping(type, r) AS INT) AS level FROM g GROUP BY ROLLUP (type, r)",
+    "fl01_gate": f"{GATED} SELECT seq, type, reason AS rejection_reason FROM walk WHERE i > 0",
+    "ag02_gate_report": f"{GATED} SELECT coalesce(type, '*') AS type, coalesce(reason, '*') AS reason, count(*) AS n, CAST(grouping(type, reason) AS INT) AS level FROM walk WHERE i > 0 GROUP BY ROLLUP (type, reason)",
     "fl10_validation": f"{W} SELECT seq, {VALID} AS reason FROM samples",
     "fl13_categories": rf"{W} SELECT seq, regexp_matches(s, '(?im)the\s+of') OR regexp_matches(s, '(?im)\bing') AS a, regexp_matches(s, '(?im)license') AS b, false AS c FROM (SELECT seq, concat_ws(' ', source, instruction, input, output) AS s FROM samples)",
     "fl21_audit": f"{W}, a AS (SELECT {STREAK % 13} AS s, {RATIO} > 0.31 AS r, {NUMERIC_FENCE} AS f FROM samples) SELECT count(*) AS n, count_if(s) AS numeric_line_streak, count_if(r) AS repetitive_output, count_if(f) AS numeric_code_block, count_if(s OR r OR f) AS failing, count_if(s OR r OR f) = 0 AS passed FROM a",
@@ -101,7 +113,12 @@ SQL = {
         SELECT *, round(fine_tuned_avg_score - baseline_avg_score, 4) AS delta_avg_score, round(fine_tuned_format_sanity_avg - baseline_format_sanity_avg, 4) AS delta_format_sanity_avg FROM s JOIN d USING (model_name)""",
     "ag11_feedback": f"WITH {RESULTS} SELECT category, count(*) AS n, round(avg(delta), 4) AS avg_delta FROM deltas WHERE delta < 0 GROUP BY category",
     "fn17_scores": "WITH a AS (SELECT doc_id, (doc_id % 6) / 5.0::DOUBLE AS r, CASE WHEN doc_id % 3 > 0 THEN (doc_id % 4) / 3.0::DOUBLE END AS l, CASE WHEN doc_id % 2 = 0 THEN (doc_id % 5) / 4.0::DOUBLE END AS s FROM documents), b AS (SELECT *, (CASE WHEN l IS NULL THEN 0.0 ELSE 0.1 END + CASE WHEN s IS NULL THEN 0.0 ELSE 0.1 END)::DOUBLE AS w FROM a) SELECT doc_id, round(r * (1 - w) + coalesce(l, 1) * coalesce(s, 1) * w, 4) AS score FROM b",
-    "ag15_scorecard": rf"{W}, p AS (SELECT count(DISTINCT sha256({COLLAPSED})) AS k, count(*) AS n FROM samples GROUP BY trim(instruction, ' ' || chr(10)), trim(input)), v AS (SELECT (SELECT round((count(*) - count(DISTINCT {COLLAPSED})) / count(*)::DOUBLE, 4) FROM samples) AS d, round(coalesce(sum(n) FILTER (k > 1), 0) / sum(n)::DOUBLE, 4) AS a FROM p) SELECT d <= 0.05 AS duplicates_ok, a <= 0.02 AS ambiguity_ok, true AS some_pairs, d <= 0.05 AND a <= 0.02 AS overall_passed FROM v",
+    "ag15_scorecard": f"{CARD} SELECT *, {' AND '.join(CHECKS)} AS overall_passed FROM card",
+    "fl22_failed_checks": f"{CARD} " + " UNION ALL ".join(f"SELECT '{x}' AS failed FROM card WHERE NOT {x}" for x in CHECKS),
+    "sc11_metadata": """WITH f AS (SELECT doc_id, p, (doc_id + p) % 4 AS k FROM documents, (VALUES (0), (1)) v(p)), first AS (SELECT doc_id, min_by(p, p) AS p, min_by(k, p) AS k FROM f WHERE k > 0 GROUP BY doc_id)
+        SELECT 'm' || doc_id AS machine_name, CASE WHEN k < 3 THEN 'b' || p END AS branch, CASE k WHEN 1 THEN '^' || (doc_id % 12) WHEN 2 THEN '^11' END AS core_constraint, CASE k WHEN 1 THEN '>=8.' || (doc_id % 4) END AS php_constraint, CASE WHEN k < 3 THEN k = 1 END AS has_tests FROM first""",
+    "ag13_dedup_summary": """WITH d AS (SELECT coalesce(length(text), 0) AS n, row_number() OVER (PARTITION BY text ORDER BY doc_id) > 1 AS again FROM documents WHERE text IS NOT NULL)
+        SELECT CASE WHEN again THEN 'exact' ELSE 'canonical' END AS dup_type, count(*) AS n, CAST(sum(n) AS BIGINT) AS chars, CAST(sum(CASE WHEN again THEN n ELSE 0 END) AS BIGINT) AS saved FROM d GROUP BY 1""",
     "sc15_storage_paths": r"WITH p AS (SELECT page_id, replace(regexp_extract(url, '://([^/?#]*)', 1), '.', '_') AS h, coalesce(nullif(trim(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '/'), ''), 'index') AS p FROM pages) SELECT page_id, h || '/' || p || CASE WHEN regexp_matches(p, '\.(html|md|json|xml)$') THEN '' ELSE '.html' END AS path FROM p",
     "sc16_links": r"""WITH l AS (SELECT regexp_replace(url, '[?#].*$', '') AS url, unnest(regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"', 1)) AS href FROM pages) SELECT url, count(*) AS n, count(DISTINCT string_split(href, '#')[1]) AS n_distinct FROM l GROUP BY url""",
     "fl19_discovery": rf"""WITH n AS ({c.NODES}), r AS (SELECT CASE WHEN machine_name = '' THEN 'missing_machine_name' WHEN contains(lower(title || ' ' || machine_name), 'archived') THEN 'archived_or_security_only' WHEN NOT has_composer THEN 'missing_composer' WHEN NOT regexp_matches(core_constraint, '(^|[^0-9])\^?11(\.|$)') THEN 'core_not_drupal11' WHEN language_constraint = '>=8.1' THEN 'php_constraint_too_low' ELSE 'kept' END AS reason FROM n) SELECT reason, count(*) AS n FROM r GROUP BY reason""",
