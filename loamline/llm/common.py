@@ -56,6 +56,25 @@ def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextlib.contextmanager
+def light_batches(spark: SparkSession, most_bytes: int, rows: int = 256) -> Iterator[None]:
+    """Steps that run inside send rows to Python in batches of about most_bytes, or one row, and read Parquet by few rows.
+
+    Spark's reader holds 4,096 rows of a column in one array, which doubles as it fills, whatever the length of a text.
+    """
+    most = {"spark.sql.execution.arrow.maxBytesPerBatch": most_bytes, "spark.sql.parquet.columnarReaderBatchSize": rows}
+    before = {name: spark.conf.get(name) for name in most}
+    # Sizes may have units or mean no limit: those give way.
+    held = {name: int(n) if (n := x.removesuffix("b")).isdigit() else 0 for name, x in before.items()}
+    for name, n in most.items():
+        spark.conf.set(name, str(min(n, held[name] or n)))
+    try:
+        yield
+    finally:
+        for name, x in before.items():
+            spark.conf.set(name, x)
+
+
 def stored(df: DataFrame, what: str, batch_rows: int | None = None) -> tuple[DataFrame, str]:
     """df written as Parquet to the shared folder and read again, which cuts its lineage; and the path."""
     spark, path = df.sparkSession, new_path(df.sparkSession, what)

@@ -2,7 +2,8 @@
 
 Archives are files in the shared folder, written by Spark's committing text
 writer (gzip at its fastest level) and read as binary files. Each holds about ``ARCHIVE_BYTES`` of
-records, or one longer record, so memory is bounded by that.
+records, or one longer record, so memory is bounded by that; rows go to Python in
+batches of about as many bytes. (``read_warc`` is lazy: its batches are as the session has them.)
 
 An ARC file begins with a version block, whose second line names the version and
 whose third line names the fields of the header lines: five in version 1, ten in
@@ -36,11 +37,12 @@ import re
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import heavy_lookup, new_path, pieces, table
+from .common import dropped, heavy_lookup, light_batches, new_path, pieces, stored, table
 
 ARCHIVE_BYTES = 8_000_000
 FIELDS = {1: ["URL", "IP-address", "Archive-date", "Content-type", "Archive-length"], 2: ["URL", "IP-address", "Archive-date", "Content-type", "Result-code", "Checksum", "Location", "Offset", "Filename", "Archive-length"]}
@@ -193,9 +195,15 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
 
 
+def _row(data: bytes, end: int) -> pa.RecordBatch:
+    """The bytes without the last ``end`` as one text. They needn't be UTF-8: nothing on the way to a file looks at them, or copies them before Spark does."""
+    offsets = np.array([0, len(data) - end], np.int32)
+    return pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.string(), 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])], names=["value"])
+
+
 def _write(archives: DataFrame, path: str, end: str) -> None:
-    """One file for each row of bytes, which ends with ``end``; the writer puts that back."""
-    archives.select(F.col("value").cast("string")).write.option("maxRecordsPerFile", 1).option("lineSep", end).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
+    """One file for each row of ``_row``, which ends with ``end``; the writer puts that back."""
+    archives.write.option("maxRecordsPerFile", 1).option("lineSep", end).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
 def write_arc(pages: DataFrame, path: str, version: int = 1, archive_bytes: int = ARCHIVE_BYTES) -> None:
@@ -205,7 +213,7 @@ def write_arc(pages: DataFrame, path: str, version: int = 1, archive_bytes: int
         held, size = [], 0
 
         def whole() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([arc_file(held, version)[:-1]], pa.binary())], names=["value"])
+            return _row(arc_file(held, version), 1)
 
         for b in pieces(batches, archive_bytes, "html"):
             for page, url, html in zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in ("page_id", "url", "html")), strict=True):
@@ -219,7 +227,8 @@ def write_arc(pages: DataFrame, path: str, version: int = 1, archive_bytes: int
         if held:
             yield whole()
 
-    _write(pages.select("page_id", "url", "html").mapInArrow(run, "value binary"), path, "\n")
+    with light_batches(pages.sparkSession, archive_bytes):
+        _write(pages.select("page_id", "url", "html").mapInArrow(run, "value string"), path, "\n")
 
 
 def arc_index(spark: SparkSession, path: str) -> DataFrame:
@@ -250,7 +259,9 @@ def revisits(index: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 def arc_to_warc(spark: SparkSession, arc: str, warc: str, least_bytes: int = 0) -> None:
     """Converts the ARC files under arc to WARC files under warc, one for one."""
-    index = arc_index(spark, arc)
+    # Stored, as deciding reads it several times and the archives are unpacked only once for that.
+    with light_batches(spark, ARCHIVE_BYTES):
+        index, kept = stored(arc_index(spark, arc), "index")
     # Of one file: no more entries than it has records.
     decided = revisits(index, least_bytes).groupBy("path").agg(F.collect_list(F.struct("seq", F.col("original.id").alias("id"), F.col("original.url").alias("url"), F.col("original.page_id").cast("string").alias("page"))).alias("originals"))
     work = _files(spark, arc).join(decided, "path", "left").select("content", "originals")
@@ -261,9 +272,11 @@ def arc_to_warc(spark: SparkSession, arc: str, warc: str, least_bytes: int = 0)
                 of = {o["seq"]: (o["id"], text_of(o["url"]), o["page"]) for o in originals.as_py() or ()}
                 out = b"".join(converted(h, c, of.get(i)) for i, (h, c) in enumerate(arc_records(gzip.decompress(data.as_py()))))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array([out[:-2]], pa.binary())], names=["value"])
+                    yield _row(out, 2)
 
-    _write(work.mapInArrow(run, "value binary"), warc, "\r\n")
+    with light_batches(spark, ARCHIVE_BYTES):
+        _write(work.mapInArrow(run, "value string"), warc, "\r\n")
+    dropped(spark, kept)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:

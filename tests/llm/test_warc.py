@@ -65,3 +65,48 @@ def test_foreign_archives(spark, tmp_path):
     digests = {r["url"]: r["payload_digest"] for r in rows}
     assert digests["http://a/x.png"] == w.sha1(png) and digests["dns:a"] == w.sha1(records[3][2]) and digests["http://a/cut"] == w.sha1(b"")
     assert all(r["page_id"] is None and r["refers_to"] is None for r in rows)
+
+
+def test_batches_hold_as_much_as_an_archive(spark, tmp_path, monkeypatch):
+    """Ten thousand pages at once, or four thousand in Spark's reader, would take memory by the length of pages."""
+    seen, read, names = tmp_path / "seen", [], ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    pieces, write, before = w.pieces, w._write, [spark.conf.get(n) for n in names]
+
+    def noted(batches, *a):
+        def each():
+            for b in batches:
+                with open(seen, "a") as f:
+                    f.write(f"{b.num_rows} {b.nbytes}\n")
+                yield b
+
+        return pieces(each(), *a)
+
+    monkeypatch.setattr(w, "pieces", noted)
+    monkeypatch.setattr(w, "_write", lambda *a: (read.append(spark.conf.get(names[1])), write(*a)))
+    spark.range(0, 300, 1, 1).selectExpr("id as page_id", "concat('http://h/', id) as url", "repeat(chr(97 + id % 26), 20000) as html").write.parquet(str(tmp_path / "pages"))
+    w.write_arc(spark.read.parquet(str(tmp_path / "pages")), str(tmp_path / "arc"), archive_bytes=100_000)
+    batches = [tuple(map(int, x.split())) for x in seen.read_text().splitlines()]
+    assert sum(n for n, _ in batches) == 300 and max(size for _, size in batches) < 150_000
+    assert [int(x) <= 256 for x in read] == [True] and [spark.conf.get(n) for n in names] == before
+
+
+def test_archives_are_unpacked_once_for_the_index(spark, tmp_path, monkeypatch):
+    pages = spark.createDataFrame([(i, f"http://h/{i}", f"<p>{i % 9}</p>") for i in range(90)], "page_id long, url string, html string")
+    w.write_arc(pages, str(tmp_path / "arc"), archive_bytes=200)
+    seen, index = tmp_path / "seen", w.arc_index
+
+    def noted(batches):
+        for b in batches:
+            with open(seen, "a") as f:
+                f.write("x" * b.num_rows)
+            yield b
+
+    def counted(*a):
+        found = index(*a)
+        return found.mapInArrow(noted, found.schema)
+
+    monkeypatch.setattr(w, "arc_index", counted)
+    w.arc_to_warc(spark, str(tmp_path / "arc"), str(tmp_path / "warc"))
+    assert len(seen.read_text()) == 90
+    types = [r["record_type"] for r in w.read_warc(spark, str(tmp_path / "warc")).collect()]
+    assert sorted(types) == ["response"] * 9 + ["revisit"] * 81
