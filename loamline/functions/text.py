@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -155,28 +157,76 @@ def source_bucket(path: Column | str) -> Column:
 # --- fingerprints ------------------------------------------------------------
 
 
+#: Code points that are numbered at once.
+PIECE = 1 << 20
+
+
+def _set_bits(pieces: list[str]):
+    """Of each piece (five characters at least), how many of its shingles have each of the 64 bits set. Shingles are numbered, so that each distinct one is hashed once."""
+    import numpy as np
+    import pandas as pd
+
+    whole, lengths = "".join(pieces), np.array([len(p) for p in pieces])
+    points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), "<u4")
+    seen = np.zeros(int(points.max()) + 1, bool)
+    seen[points] = True
+    chars, n = (np.cumsum(seen) - 1)[points], int(seen.sum())
+    ends, inside = np.cumsum(lengths), np.ones(len(points), bool)
+    for j in range(1, 5):
+        inside[ends - j] = False
+    places = np.flatnonzero(inside)
+    ids, size = chars[places], n
+    for j in range(1, 5):
+        if size * n >= 1 << 63:  # of many characters, so prefixes are numbered first
+            ids, distinct = pd.factorize(ids)
+            size = len(distinct)
+        ids, size = ids * n + chars[places + j], size * n
+    ids, distinct = pd.factorize(ids)
+    example = np.empty(len(distinct), np.int64)
+    example[ids] = places
+    digests = b"".join([hashlib.sha256(whole[p : p + 5].encode("utf-8", "surrogatepass")).digest()[:8] for p in example.tolist()])
+    # A byte for each bit, eight to a word: sums of up to 255 words don't carry over.
+    words = np.unpackbits(np.frombuffer(digests, np.uint8)).view(np.uint64).reshape(-1, 8)
+    windows = lengths - 4
+    runs = -(-windows // 255)
+    first_run = np.cumsum(runs) - runs
+    starts = np.repeat(np.cumsum(windows) - windows - 255 * first_run, runs) + 255 * np.arange(runs.sum())
+    sums = np.empty((len(starts), 8), np.uint64)
+    for w in range(8):
+        sums[:, w] = np.add.reduceat(np.ascontiguousarray(words[:, w])[ids], starts)
+    return np.add.reduceat(sums.view(np.uint8).astype(np.int64), first_run, axis=0)
+
+
 def simhash(x: Column | str) -> Column:
     """64-bit SimHash of five-character shingles, each by the first 8 bytes of its SHA-256."""
     import numpy as np
     import pandas as pd
 
-    import hashlib
-
     def of(texts: pd.Series) -> pd.Series:
-        out = []
-        for t in texts:
+        counts, windows = np.zeros((len(texts), 64), np.int64), np.zeros(len(texts), np.int64)
+        null, owners, pieces, held = np.zeros(len(texts), bool), [], [], 0
+
+        def settle():
+            nonlocal owners, pieces, held
+            if pieces:
+                np.add.at(counts, owners, _set_bits(pieces))
+            owners, pieces, held = [], [], 0
+
+        for k, t in enumerate(texts):
             if t is None:
-                out.append(None)
+                null[k] = True
                 continue
             t = " ".join(t.lower().split()).ljust(5)
-            counts: dict[str, int] = {}
-            for i in range(len(t) - 4):
-                counts[t[i : i + 5]] = counts.get(t[i : i + 5], 0) + 1
-            digests = np.frombuffer(b"".join(hashlib.sha256(s.encode("utf-8", "surrogatepass")).digest()[:8] for s in counts), np.uint8).reshape(-1, 8)
-            votes = 2 * np.unpackbits(digests, axis=1).astype(np.int64) - 1
-            bits = (np.array(list(counts.values())) @ votes) >= 0
-            out.append(int(np.frombuffer(np.packbits(bits).tobytes(), ">i8")[0]))
-        return pd.Series(out, dtype="Int64")
+            windows[k] = len(t) - 4
+            for i in range(0, len(t) - 4, PIECE):
+                pieces.append(t[i : i + PIECE + 4])
+                owners.append(k)
+                held += len(pieces[-1])
+                if held >= PIECE:
+                    settle()
+        settle()
+        prints = np.packbits(2 * counts >= windows[:, None], axis=1).view(">i8").ravel().astype(np.int64)
+        return pd.Series(prints, dtype="Int64").mask(null)
 
     of.__annotations__ = {"texts": pd.Series, "return": pd.Series}
     return F.pandas_udf(of, "long")(c(x))
